@@ -27,31 +27,43 @@ ACCESS_LOG_TIME_FORMAT = "dd/MMM/yyyy:HH:mm:ss Z"
 ACCESS_LOG_PATTERN_LENIENT = ACCESS_LOG_PATTERN[: -len(r"(\d+)")] + r"(\d+|-)"
 
 
-def _group(value: Column, pattern: str, idx: int) -> Column:
-    return F.regexp_extract(value, pattern, idx)
+_SEP = "\u0001"   # field separator that cannot occur in a log line
+
+
+def _groups(value: Column, pattern: str, n: int) -> list[Column]:
+    """All capture groups of ``pattern`` from one regex pass.
+
+    ``regexp_replace`` rewrites a matching line into its groups joined by a
+    separator (one match per line instead of one per field), ``split`` then
+    cuts it. ``try_element_at`` yields NULL instead of raising when a line
+    did not match.
+    """
+    repl = _SEP.join(f"${i}" for i in range(1, n + 1))
+    parts = F.split(F.regexp_replace(value, pattern + ".*", repl), _SEP)
+    return [F.try_element_at(parts, F.lit(i)) for i in range(1, n + 1)]
 
 
 def _field_exprs(value: Column, lenient: bool) -> dict[str, Column]:
     pat = ACCESS_LOG_PATTERN_LENIENT if lenient else ACCESS_LOG_PATTERN
-    size = _group(value, pat, 10)
+    g = _groups(value, pat, 10)
+    size = g[9]
     if lenient:
         size = F.when(size == "-", F.lit("0")).otherwise(size)
-    groups = [_group(value, pat, i) for i in range(1, 10)]
     return {
-        "host": groups[0],
-        "client_identd": groups[1],
-        "user_id": groups[2],
-        "date_time": F.concat_ws(" ", groups[3], groups[4]),
-        "method": groups[5],
-        "endpoint": groups[6],
-        "protocol": groups[7],
-        "response_code": groups[8],
+        "host": g[0],
+        "client_identd": g[1],
+        "user_id": g[2],
+        "date_time": F.concat_ws(" ", g[3], g[4]),
+        "method": g[5],
+        "endpoint": g[6],
+        "protocol": g[7],
+        "response_code": g[8],
         "content_size": size,
     }
 
 
 def access_log_fields(value: Column, lenient: bool = False) -> list[Column]:
-    """The nine named fields of a line (strings; '' where the line does not match)."""
+    """The nine named fields of a matching line (strings)."""
     return [c.alias(n) for n, c in _field_exprs(value, lenient).items()]
 
 

@@ -78,16 +78,16 @@ def denormalize(base: DataFrame, lookups: Sequence[tuple[DataFrame, str | list[s
 def upsert(df: DataFrame, key: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
     """One row per key, the last by ``order_cols`` (last write wins, O-DM14).
 
-    ``max_by`` over a struct of the row keeps the aggregation partial on the
-    map side, so a hot key costs one row per input partition in the shuffle.
-    The remaining columns extend the ordering, so full ties pick the same
-    row every run.
+    ``max`` over a struct led by the ordering columns (the remaining columns
+    follow as tie-breaks, so full ties pick the same row every run) returns
+    the winning row itself. The aggregation stays partial on the map side, so
+    a hot key costs one row per input partition in the shuffle rather than
+    all of its rows in one task.
     """
     key = list(key)
     rest = [c for c in df.columns if c not in key]
     ordering = [*order_cols, *[c for c in rest if c not in order_cols]]
-    latest = F.max_by(F.struct(*rest), F.struct(*ordering))
-    return df.groupBy(*key).agg(latest.alias("_row")).select(*key, "_row.*")
+    return df.groupBy(*key).agg(F.max(F.struct(*ordering)).alias("_row")).select(*key, "_row.*")
 
 
 def materialize_for_query(df: DataFrame, path: str, partition_key: Sequence[str],
