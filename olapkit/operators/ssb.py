@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import date_key
 from ..sources.readers import Tables
-from ..sources.writers import write_layout
+from ..sources.writers import load_tables
 from .star import amount, build_dim_date, customer_geo, supplier_geo
 
 
@@ -83,11 +83,7 @@ def materialize(spark: SparkSession, tables: SsbTables, database: str, layout: s
                 buckets: int = 8, location: str | None = None) -> SsbTables:
     """Write the SSB tables into ``database`` in the ``plain`` or ``dist`` layout
     (the two ``search_path`` schemas of the reference) and return them."""
-    loc = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{loc}")
-    for name, df in tables.as_dict().items():
-        opts = DIST_LAYOUT[name] if layout == "dist" else {}
-        write_layout(df, f"{database}.{name}", layout, buckets=buckets, **opts)
+    load_tables(tables.as_dict(), database, layout, DIST_LAYOUT, buckets=buckets, location=location)
     return SsbTables(**{n: spark.table(f"{database}.{n}") for n in SsbTables.NAMES})
 
 

@@ -2,10 +2,10 @@
 
 from .readers import (Tables, bulk_load, describe_columns, list_files, read_csv, read_events_json,
                       read_log_lines, read_table, register, rows, with_epoch_ms)
-from .writers import align_to_schema, insert_into, write_csv, write_layout, write_parquet
+from .writers import align_to_schema, insert_into, load_tables, write_csv, write_layout, write_parquet
 
 __all__ = [
     "Tables", "bulk_load", "describe_columns", "list_files", "read_csv", "read_events_json",
     "read_log_lines", "read_table", "register", "rows", "with_epoch_ms", "align_to_schema",
-    "insert_into", "write_csv", "write_layout", "write_parquet",
+    "insert_into", "load_tables", "write_csv", "write_layout", "write_parquet",
 ]
