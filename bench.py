@@ -31,7 +31,7 @@ def main() -> None:
 
     from olapkit import plans
     from olapkit.operators.olap import CubeQuery
-    from olapkit.operators.ssb import DIST_LAYOUT, SsbTables, run_ssb, ssb_tables
+    from olapkit.operators.ssb import DIST_LAYOUT, SsbTables, compare_layouts, ssb_tables
     from olapkit.operators.star import build_star, read_star, write_star
     from olapkit.session import JOB_CONF, LOCAL_CONF, configure
     from olapkit.sources.readers import Tables
@@ -72,11 +72,13 @@ def main() -> None:
 
     q = plans.queries()
     cube = CubeQuery(star)
-    bench_queries = {}
-    for layout, tabs in layouts.items():
-        for name in ("one_dim", "two_dim", "drill", "same_dist"):
-            bench_queries[f"ssb_{name}_{layout}"] = (lambda tabs=tabs, name=name: run_ssb(spark, tabs, name))
-    bench_queries.update({
+    medians = {}
+    layout_gain = {}
+    for row in compare_layouts(spark, layouts, runs=runs):
+        medians[f"ssb_{row['query']}_{row['layout']}"] = row["seconds"]
+        if row["layout"] == "dist":
+            layout_gain[row["query"]] = row["gain_pct"]
+    bench_queries = {
         "star_revenue": lambda: cube.by("title", "month", "city").frame(),
         "snowflake_revenue": lambda: q["snowflake_revenue"](spark, sf_dir),
         "olap_cube": lambda: cube.cube("month", "store_country"),
@@ -87,8 +89,7 @@ def main() -> None:
         "log_parse": lambda: q["log_parse"](spark, sf_dir),
         "upsert_latest": lambda: q["upsert_latest"](spark, sf_dir),
         "fk_orphans": lambda: q["fk_orphans"](spark, sf_dir),
-    })
-    medians = {}
+    }
     for name, make in bench_queries.items():
         run(make())  # warm-up
         samples = []
@@ -98,11 +99,6 @@ def main() -> None:
             samples.append(time.perf_counter() - t0)
         medians[name] = round(statistics.median(samples), 3)
 
-    layout_gain = {}
-    for name in ("one_dim", "two_dim", "drill", "same_dist"):
-        p, d = medians[f"ssb_{name}_plain"], medians[f"ssb_{name}_dist"]
-        layout_gain[name] = round(100.0 * (p - d) / p, 1) if p else 0.0
-
     sf = os.path.basename(sf_dir).replace("sf", "")
     out = {
         "metric": "headline_query_median_total",

@@ -130,3 +130,30 @@ SSB_QUERIES = {"one_dim": ONE_DIM, "two_dim": TWO_DIM, "drill": DRILL, "same_dis
 
 def run_ssb(spark: SparkSession, tables: SsbTables, name: str) -> DataFrame:
     return spark.sql(SSB_QUERIES[name], **tables.as_dict())
+
+
+def compare_layouts(spark: SparkSession, layouts: dict[str, SsbTables], runs: int = 3,
+                    names: tuple[str, ...] = tuple(SSB_QUERIES)) -> list[dict]:
+    """Time every SSB query on every layout (O-Q5): one warm-up, then the
+    median of ``runs``; each query runs to completion into the ``noop`` sink.
+    Returns rows ``{query, layout, seconds}`` plus ``gain_pct`` of the second
+    layout over the first."""
+    import statistics
+    import time
+
+    out = []
+    for name in names:
+        times = {}
+        for layout, tabs in layouts.items():
+            run_ssb(spark, tabs, name).write.format("noop").mode("overwrite").save()
+            samples = []
+            for _ in range(runs):
+                t0 = time.perf_counter()
+                run_ssb(spark, tabs, name).write.format("noop").mode("overwrite").save()
+                samples.append(time.perf_counter() - t0)
+            times[layout] = statistics.median(samples)
+        base = next(iter(times.values()))
+        for layout, sec in times.items():
+            out.append({"query": name, "layout": layout, "seconds": round(sec, 3),
+                        "gain_pct": round(100.0 * (base - sec) / base, 1) if base else 0.0})
+    return out

@@ -58,3 +58,24 @@ def test_load_tables_times_each_table(spark, tables, tmp_dir):
                       {"nation": {"bucket_by": ["n_nationkey"]}}, buckets=2, location=f"{tmp_dir}/db")
     assert [n for n, _ in got] == ["nation", "region"]
     assert spark.table("loadtest.nation").count() == 25
+
+
+def test_describe_all_columns_strings_too(tables):
+    d = tables.nation.describe()
+    assert d.columns == ["summary", "n_nationkey", "n_name", "n_regionkey"]
+    got = {r["summary"]: r for r in d.collect()}
+    assert got["count"]["n_name"] == "25"
+    assert (got["min"]["n_name"], got["max"]["n_name"]) == ("NATION_0", "NATION_9")
+    assert got["mean"]["n_name"] is None
+
+
+def test_date_key_pattern_trap(spark):
+    from olapkit.functions.dates import date_key, is_weekend
+
+    df = spark.sql("SELECT TIMESTAMP_NTZ'2024-02-06 10:00:00' AS ts, TIMESTAMP_NTZ'2024-02-10 00:00:00' AS sat")
+    r = df.select(date_key("ts").alias("k"), F.date_format("ts", "yyyyMMdd").cast("int").alias("good"),
+                  F.date_format("ts", "yyyyMMDD").alias("day_of_year"),
+                  is_weekend("ts").alias("wd"), is_weekend("sat").alias("we")).first()
+    assert r["k"] == r["good"] == 20240206
+    assert r["day_of_year"] == "20240237"          # DD is the day of the year
+    assert (r["wd"], r["we"]) == (False, True)
