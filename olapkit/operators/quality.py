@@ -22,13 +22,20 @@ class ForeignKey:
 
 def fk_orphans(relations: Sequence[ForeignKey]) -> DataFrame:
     """Child rows whose (non-NULL) reference has no parent, counted per
-    relation. One anti join per relation, all in one unioned plan."""
+    relation (O-DQ2).
+
+    Child keys are counted first (partial aggregation on the map side, so a
+    hot key ships one row per input partition), then the distinct keys are
+    anti-joined with the parent keys and their counts summed. All relations
+    run in one unioned plan.
+    """
     parts = []
     for r in relations:
-        child = r.child.select(F.col(r.fk).alias("_k")).filter(F.col("_k").isNotNull())
+        child = (r.child.select(F.col(r.fk).alias("_k")).filter(F.col("_k").isNotNull())
+                 .groupBy("_k").agg(F.count(F.lit(1)).alias("_n")))
         parent = r.parent.select(F.col(r.pk).alias("_k"))
         parts.append(child.join(parent, "_k", "left_anti")
-                     .agg(F.count(F.lit(1)).alias("orphans"))
+                     .agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("orphans"))
                      .select(F.lit(r.name).alias("relation"), "orphans"))
     out = parts[0]
     for p in parts[1:]:
