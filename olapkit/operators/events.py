@@ -49,8 +49,11 @@ def running_sum(df: DataFrame, value: str, by: Sequence[str], ts: str, out: str,
         order += [F.col(c).desc() if descending else F.col(c).asc() for c in tie_break]
     elif frame != "range":
         raise ValueError(frame)
-    df = df.withColumn("_chunk", chunk)
-    w = Window.partitionBy(*by, "_chunk").orderBy(*order)
+    # One struct key (by..., chunk) drives both the window partitioning and the
+    # join, so the join reuses the window's shuffle; struct equality also
+    # matches NULL users/times, which a plain window keeps as a group.
+    df = df.withColumn("_chunk", chunk).withColumn("_key", F.struct(*[F.col(c) for c in by], F.col("_chunk")))
+    w = Window.partitionBy("_key").orderBy(*order)
     w = (w.rangeBetween(Window.unboundedPreceding, Window.currentRow) if frame == "range"
          else w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = df.withColumn("_local", F.sum(value).over(w))
@@ -58,11 +61,12 @@ def running_sum(df: DataFrame, value: str, by: Sequence[str], ts: str, out: str,
     totals = df.groupBy(*by, "_chunk").agg(F.sum(value).alias("_tot"))
     corder = F.col("_chunk").desc() if descending else F.col("_chunk").asc()
     cw = Window.partitionBy(*by).orderBy(corder).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*by, "_chunk", F.coalesce(F.sum("_tot").over(cw), F.lit(0)).alias("_off"))
+    offsets = totals.select(F.struct(*[F.col(c) for c in by], F.col("_chunk")).alias("_key"),
+                            F.coalesce(F.sum("_tot").over(cw), F.lit(0)).alias("_off"))
 
-    return (local.join(offsets, [*by, "_chunk"])
+    return (local.join(offsets, "_key")
             .withColumn(out, (F.col("_local") + F.col("_off")).cast("bigint"))
-            .drop("_chunk", "_local", "_off"))
+            .drop("_key", "_chunk", "_local", "_off"))
 
 
 def flag_phase(df: DataFrame, user: str, ts: str, cond: Column, out: str = "phase",

@@ -92,3 +92,11 @@ def test_access_log_map_is_null_on_no_match(spark):
     got = sorted((r["parsed"] or {}).get("host", "<none>") for r in m.collect())
     assert got == ["199.120.110.21", "<none>"]
     assert len(access_log_fields(F.col("value"))) == 9
+
+
+def test_running_sum_keeps_null_users(spark):
+    df = spark.createDataFrame([(1, None, 10, 1), (2, None, 20, 1), (3, 5, 10, 1)],
+                               "event_id long, user_id long, ts long, v int") \
+        .withColumn("ts", F.timestamp_seconds("ts").cast("timestamp_ntz"))
+    got = dict(rows_of(running_sum(df, "v", ["user_id"], "ts", "s"), ["event_id", "s"]))
+    assert got == {1: 2, 2: 1, 3: 1}
