@@ -12,7 +12,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import date_key  # noqa: F401  (re-export convenience)
 from ..functions.logs import (access_log_fields, access_log_map, date_time_parts, log_timestamp,
                               matches_access_log)
 

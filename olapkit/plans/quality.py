@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
 from ..operators.quality import ForeignKey, fk_orphans, load_counts, load_diff, not_null_report, pk_duplicates
 from ..sources.readers import Tables
 from .registry import query
@@ -85,5 +82,3 @@ def load_diff_q(t: Tables):
     """The rows one load misses (O-DQ5)."""
     return load_diff(t.orders, _second_load(t))
 
-
-__all__ = ["F", "T"]
