@@ -19,9 +19,14 @@ def to_1nf(df: DataFrame, array_col: str, out_col: str) -> DataFrame:
 
 def split_entity(df: DataFrame, key: Sequence[str], attrs: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """2NF: attributes that depend on ``key`` only go to a parent table stored
-    once per key; the rest stays as the child (O-DM2)."""
+    once per key; the rest stays as the child (O-DM2).
+
+    ``distinct`` over key + attributes is a hash aggregation with no buffers;
+    if an attribute does not in fact depend on the key, the parent shows more
+    rows than keys instead of silently keeping an arbitrary one.
+    """
     key, attrs = list(key), list(attrs)
-    parent = df.select(*key, *attrs).dropDuplicates(key)
+    parent = df.select(*key, *attrs).distinct()
     child = df.drop(*attrs)
     return parent, child
 
@@ -97,12 +102,14 @@ def materialize_for_query(df: DataFrame, path: str, partition_key: Sequence[str]
     partitions (``directories=True``, for low-cardinality keys) or sorted
     file ranges (high-cardinality keys, never one directory per value);
     clustering columns -> sort order inside files, so parquet min/max
-    statistics skip row groups. Range partitioning on key + clustering
-    splits a hot key over several tasks instead of one."""
+    statistics skip row groups. Range partitioning on key + clustering + a
+    hash of the whole row splits a hot key over several tasks instead of one
+    (the hash is deterministic, so a recomputed task sees the same rows)."""
     keys = [*partition_key, *clustering]
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    laid = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    spread = F.xxhash64(*[F.col(c) for c in df.columns])
+    laid = df.repartitionByRange(n, *[F.col(k) for k in keys], spread).sortWithinPartitions(*keys)
     w = laid.write.mode(mode)
     if directories:
         w = w.partitionBy(*partition_key)

@@ -1,5 +1,7 @@
 """Tiny tables with rows from the exercises (FIXTURES.md part A)."""
 
+import os
+
 from pyspark.sql import functions as F
 
 from olapkit.operators.modeling import (add_surrogate_key, denormalize, extract_dimension, lookup,
@@ -95,3 +97,13 @@ def test_surrogate_key_is_dense_and_ordered(spark):
     out = add_surrogate_key(df, ["k"], "sk", num_partitions=7)
     got = rows_of(out, ["k", "sk"])
     assert got == [(k, k + 1) for k in range(5000)]
+
+
+def test_per_query_layout_splits_a_hot_key(spark, tmp_dir):
+    # one year holds almost every row: the writer tasks still share it
+    df = spark.range(0, 4000).select(F.when(F.col("id") < 3900, 1970).otherwise(1965).alias("year"),
+                                     F.col("id").cast("string").alias("album_name"))
+    out = materialize_for_query(df, f"{tmp_dir}/hot", ["year"], [], num_partitions=8)
+    files = [f for f in os.listdir(f"{tmp_dir}/hot/year=1970") if f.endswith(".parquet")]
+    assert len(files) >= 4
+    assert out.filter("year = 1970").count() == 3900
