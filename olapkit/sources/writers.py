@@ -61,12 +61,19 @@ def write_layout(df: DataFrame, table: str, layout: str = "plain", *, bucket_by:
     * ``plain``: no distribution or sort key.
     * ``dist``: distribution key -> ``bucketBy`` (co-located joins without an
       exchange when both sides share the bucketing); sort key -> ``sortBy``
-      inside buckets so parquet min/max statistics skip row groups.
+      inside buckets so parquet min/max statistics skip row groups. Rows are
+      hash-partitioned into exactly ``buckets`` tasks first, so each bucket
+      is one file. Pick a distribution key without hot values: a bucket
+      cannot be split at read time.
       Replicated small tables need no layout: the planner broadcasts them
       after checking their size.
     Tables are saved through the catalog (bucketing needs it); ``path`` puts
     the data in a chosen (shared) folder.
     """
+    if layout == "dist" and bucket_by:
+        # same hash as the bucketing: each task holds one bucket and writes one
+        # file, instead of every task writing a file for every bucket
+        df = df.repartition(buckets, *bucket_by)
     w = df.write.mode(mode).format("parquet")
     if path is not None:
         w = w.option("path", path)
