@@ -61,13 +61,24 @@ def add_surrogate_key(df: DataFrame, order_cols: Sequence[str], id_col: str = "i
             .drop("_pid", "_mono", "_off"))
 
 
-def extract_dimension(df: DataFrame, attr: str, id_col: str, name_col: str | None = None
-                      ) -> tuple[DataFrame, DataFrame]:
+def extract_dimension(df: DataFrame, attr: str, id_col: str, name_col: str | None = None,
+                      first_seen_by: str | None = None) -> tuple[DataFrame, DataFrame]:
     """3NF: move a transitively dependent attribute to its own table with a
-    new id (numbered in value order) and keep only the id in ``df`` (O-DM3)."""
+    new id and keep only the id in ``df`` (O-DM3).
+
+    Ids follow the value order, or with ``first_seen_by`` the order in which
+    values first appear along that column (``SERIAL`` assigned at insert
+    time); the value breaks ties.
+    """
     name_col = name_col or attr
-    values = df.select(F.col(attr).alias(name_col)).distinct()
-    dim = add_surrogate_key(values, [name_col], id_col).select(id_col, name_col)
+    if first_seen_by:
+        values = (df.groupBy(F.col(attr).alias(name_col))
+                  .agg(F.min(first_seen_by).alias("_first")))
+        order = ["_first", name_col]
+    else:
+        values = df.select(F.col(attr).alias(name_col)).distinct()
+        order = [name_col]
+    dim = add_surrogate_key(values, order, id_col).select(id_col, name_col)
     slim = (df.join(dim.select(F.col(name_col).alias(attr), id_col), attr).drop(attr))
     return dim, slim
 

@@ -24,8 +24,12 @@ def test_normal_forms_and_rejoin(spark):
     assert nf1.count() == 5
     parent, child = split_entity(nf1, ["transaction_id"], ["customer_name", "cashier_name", "year"])
     assert parent.count() == 3 and child.count() == 5
-    employees, transactions = extract_dimension(parent, "cashier_name", "cashier_id", "employee_name")
-    assert rows_of(employees, ["cashier_id", "employee_name"]) == [(1, "Bob"), (2, "Sam")]
+    by_name, _ = extract_dimension(parent, "cashier_name", "cashier_id", "employee_name")
+    assert rows_of(by_name, ["cashier_id", "employee_name"]) == [(1, "Bob"), (2, "Sam")]
+    # ids in order of first appearance, as inserted in the exercise: Sam 1, Bob 2
+    employees, transactions = extract_dimension(parent, "cashier_name", "cashier_id", "employee_name",
+                                                first_seen_by="transaction_id")
+    assert rows_of(employees, ["cashier_id", "employee_name"]) == [(1, "Sam"), (2, "Bob")]
     back = (transactions.join(employees, "cashier_id").join(child, "transaction_id")
             .select("transaction_id", "customer_name", F.col("employee_name").alias("cashier_name"),
                     "year", "album_name"))
