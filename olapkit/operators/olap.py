@@ -19,7 +19,9 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .star import REVENUE, Star
+from .star import REVENUE, Star, month_key
+
+PRUNE_KEY = "month_key"
 
 
 @dataclass(frozen=True)
@@ -107,12 +109,18 @@ class CubeQuery:
             ref = self.dims[dim]
             ddf = getattr(self.star, dim)
             cols = [F.col(ref.dim_key).alias(ref.fact_key)]
+            keys = [ref.fact_key]
+            if dim == "date" and PRUNE_KEY in df.columns:
+                # stored fact partitioned by month: joining on it too lets a
+                # date filter prune fact partitions (dynamic partition pruning)
+                cols.append(month_key(ref.dim_key).alias(PRUNE_KEY))
+                keys.append(PRUNE_KEY)
             cols += [F.col(self.levels[lv].column).alias(lv) for lv in lvls]
             ddf = ddf.select(*cols)
             for lv, vals in self.filters:
                 if lv in lvls:
                     ddf = ddf.filter(F.col(lv).isin(list(vals)))
-            df = df.join(ddf, ref.fact_key)
+            df = df.join(ddf, keys)
         return df
 
     def _agg(self) -> Column:

@@ -79,3 +79,17 @@ def test_date_key_pattern_trap(spark):
     assert r["k"] == r["good"] == 20240206
     assert r["day_of_year"] == "20240237"          # DD is the day of the year
     assert (r["wd"], r["we"]) == (False, True)
+
+
+def test_stored_star_prunes_fact_partitions_from_date_filter(spark, tables, tmp_dir):
+    from olapkit.operators.star import read_star, write_star
+
+    write_star(build_star(tables), f"{tmp_dir}/star")
+    stored = read_star(spark, f"{tmp_dir}/star")
+    assert "month_key" in stored.fact.columns
+    q = CubeQuery(stored).by("month", "rating").dice({"year": [1997]})
+    plan = plan_text(q.frame())
+    assert "dynamicpruningexpression" in plan
+    lazy = CubeQuery(build_star(tables)).by("month", "rating").dice({"year": [1997]}).frame()
+    got = sorted(tuple(r) for r in q.frame().collect())
+    assert got == sorted(tuple(r) for r in lazy.collect())
