@@ -93,3 +93,14 @@ def test_stored_star_prunes_fact_partitions_from_date_filter(spark, tables, tmp_
     lazy = CubeQuery(build_star(tables)).by("month", "rating").dice({"year": [1997]}).frame()
     got = sorted(tuple(r) for r in q.frame().collect())
     assert got == sorted(tuple(r) for r in lazy.collect())
+
+
+def test_sql_functions_are_native(spark):
+    from olapkit.functions.sqlfuncs import register_functions
+
+    assert set(register_functions(spark)) == {"get_hour", "is_flag"}
+    df = spark.sql("SELECT is_flag('Home', 'Home') AS a, is_flag('NextSong', 'Home') AS b, "
+                   "get_hour(5 * 3600000 + 59) AS h")
+    assert tuple(df.first()) == (1, 0, 5)
+    plan = plan_text(df)
+    assert "PythonUDF" not in plan and "BatchEvalPython" not in plan
