@@ -100,3 +100,18 @@ def test_running_sum_keeps_null_users(spark):
         .withColumn("ts", F.timestamp_seconds("ts").cast("timestamp_ntz"))
     got = dict(rows_of(running_sum(df, "v", ["user_id"], "ts", "s"), ["event_id", "s"]))
     assert got == {1: 2, 2: 1, 3: 1}
+
+
+def test_access_log_from_gz_text_file(spark, tmp_dir):
+    import gzip
+
+    from olapkit.sources.readers import read_log_lines
+
+    with gzip.open(f"{tmp_dir}/access.log.gz", "wt") as f:
+        f.write("\n".join(LINES) + "\n")
+    lines = read_log_lines(spark, f"{tmp_dir}/access.log.gz")
+    res = parse_access_log(lines)
+    assert lines.count() == len(LINES)
+    assert res.parsed.count() == 2 and res.rejected.count() == len(LINES) - 2
+    top = res.parsed.groupBy("host").count().orderBy(F.desc("count"), "host").first()
+    assert top["host"] == "199.120.110.21"
