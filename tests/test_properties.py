@@ -60,3 +60,14 @@ def test_point_lookup_pushes_filter(spark):
     plan = plan_text(plans.queries()["point_lookup"](spark, SF_SMALL))
     assert "PushedFilters: [IsNotNull(o_custkey), EqualTo(o_custkey,2)]" in plan
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_totalprice:double>" in plan
+
+
+def test_ssb_answers_equal_across_layouts(spark, tables, tmp_dir):
+    from olapkit.operators.ssb import SSB_QUERIES, materialize, run_ssb, ssb_tables
+
+    src = ssb_tables(tables)
+    plain = materialize(spark, src, "ssbt_plain", "plain", buckets=4, location=f"{tmp_dir}/p")
+    dist = materialize(spark, src, "ssbt_dist", "dist", buckets=4, location=f"{tmp_dir}/d")
+    for name in SSB_QUERIES:
+        a, b, c = (rows_of(run_ssb(spark, x, name)) for x in (src, plain, dist))
+        assert a == b == c, name
