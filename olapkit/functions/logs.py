@@ -18,7 +18,7 @@ ACCESS_LOG_FIELDS = [
     "protocol", "response_code", "content_size",
 ]
 # Date/time split of "01/Jul/1995:00:00:01 -0400": date part, time part.
-DATE_TIME_SPLIT_PATTERN = r"^([0-9A-Za-z/]+):(\d+:\d+:\d+) -"
+DATE_TIME_SPLIT_PATTERN = r"^([0-9A-Za-z\/]+)\:(\d+\:\d+\:\d+) \-"
 # Timestamp format of the date_time field.
 ACCESS_LOG_TIME_FORMAT = "dd/MMM/yyyy:HH:mm:ss Z"
 # -----------------------------------------------------------------------------
