@@ -119,3 +119,19 @@ def test_layouts_and_colocated_join(spark, tmp_dir):
 def test_describe_columns(spark):
     df = rows(spark, "a int, b string", [(1, "x")])
     assert rows_of(describe_columns(df), ["column_name", "data_type"]) == [("a", "int"), ("b", "string")]
+
+
+def test_tables_from_catalog(spark):
+    from olapkit import plans
+    from olapkit.sources.readers import Tables
+
+    from .conftest import SF_SMALL
+
+    by_path = Tables(spark, SF_SMALL)
+    for name in ("orders", "customer", "nation"):
+        by_path.get(name).createOrReplaceTempView(name)
+    catalog = Tables(spark, None)
+    assert catalog.orders.count() == by_path.orders.count()
+    # a registered job runs on catalog tables too
+    q = plans.queries()["point_lookup"]
+    assert rows_of(q(spark, None)) == rows_of(q(spark, SF_SMALL))
