@@ -19,9 +19,9 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .star import REVENUE, Star, month_key
+from .star import REVENUE, Star, year_key
 
-PRUNE_KEY = "month_key"
+PRUNE_KEY = "year_key"
 
 
 @dataclass(frozen=True)
@@ -111,9 +111,9 @@ class CubeQuery:
             cols = [F.col(ref.dim_key).alias(ref.fact_key)]
             keys = [ref.fact_key]
             if dim == "date" and PRUNE_KEY in df.columns:
-                # stored fact partitioned by month: joining on it too lets a
+                # stored fact partitioned by year: joining on it too lets a
                 # date filter prune fact partitions (dynamic partition pruning)
-                cols.append(month_key(ref.dim_key).alias(PRUNE_KEY))
+                cols.append(year_key(ref.dim_key).alias(PRUNE_KEY))
                 keys.append(PRUNE_KEY)
             cols += [F.col(self.levels[lv].column).alias(lv) for lv in lvls]
             ddf = ddf.select(*cols)

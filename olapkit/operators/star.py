@@ -155,14 +155,17 @@ def build_star(t: Tables, load_date=DEFAULT_LOAD_DATE) -> Star:
 
 def write_star(star: Star, out_dir: str, mode: str = "overwrite", num_partitions: int | None = None) -> None:
     """Materialise the star (O-K4): dimensions as plain parquet, the fact
-    partitioned by ``month_key`` (yyyyMM of the sale date).
+    partitioned by ``year_key`` (year of the sale date).
 
     Queries that join the fact with the date dimension also join on
-    ``month_key`` (see ``CubeQuery``), so a filter on the date dimension
+    ``year_key`` (see ``CubeQuery``), so a filter on the date dimension
     prunes fact partitions at run time (dynamic partition pruning). The fact
     is range-partitioned on (date_key, order_key) before the write: each task
-    writes one contiguous, sorted date range into one or two month
-    directories, and a busy day is split over several tasks by order key.
+    writes one contiguous, sorted date range into one or two year
+    directories (few files; date_key min/max per row group stay tight), and a
+    busy day is split over several tasks by order key. Yearly rather than
+    monthly directories: measured faster for scans without a date filter,
+    with the same pruning for year filters.
     """
     out_dir = out_dir.rstrip("/")
     for name, df in star.tables().items():
@@ -171,15 +174,15 @@ def write_star(star: Star, out_dir: str, mode: str = "overwrite", num_partitions
             n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
             df = (df.repartitionByRange(n, "date_key", "order_key")
                   .sortWithinPartitions("date_key", "order_key")
-                  .withColumn("month_key", month_key("date_key")))
-            df.write.mode(mode).partitionBy("month_key").parquet(f"{out_dir}/{name}")
+                  .withColumn("year_key", year_key("date_key")))
+            df.write.mode(mode).partitionBy("year_key").parquet(f"{out_dir}/{name}")
         else:
             df.write.mode(mode).parquet(f"{out_dir}/{name}")
 
 
-def month_key(date_key_col: str = "date_key"):
-    """yyyyMM of a yyyyMMdd integer key."""
-    return (F.col(date_key_col) / 100).cast("int")
+def year_key(date_key_col: str = "date_key"):
+    """yyyy of a yyyyMMdd integer key."""
+    return (F.col(date_key_col) / 10000).cast("int")
 
 
 def read_star(spark, out_dir: str) -> Star:

@@ -86,7 +86,7 @@ def test_stored_star_prunes_fact_partitions_from_date_filter(spark, tables, tmp_
 
     write_star(build_star(tables), f"{tmp_dir}/star")
     stored = read_star(spark, f"{tmp_dir}/star")
-    assert "month_key" in stored.fact.columns
+    assert "year_key" in stored.fact.columns
     q = CubeQuery(stored).by("month", "rating").dice({"year": [1997]})
     plan = plan_text(q.frame())
     assert "dynamicpruningexpression" in plan
