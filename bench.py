@@ -5,7 +5,7 @@
 Steps (as in the reference's table-design exercise): load the SSB tables in
 two layouts (``plain`` and ``dist``: bucketed/sorted), time each load;
 materialise the star; then time each headline query: one warm-up, then the
-median of ``BENCH_RUNS`` (default 3) runs. Queries run to completion into
+median of ``BENCH_RUNS`` (default 5) runs. Queries run to completion into
 the ``noop`` sink, so nothing is collected on the driver. Prints one JSON line.
 """
 
@@ -24,7 +24,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "5"))
     scratch = tempfile.mkdtemp(prefix="olapkit-bench-", dir=os.environ.get("OLAPKIT_SCRATCH", "/tmp"))
 
     from pyspark.sql import SparkSession
