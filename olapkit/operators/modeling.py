@@ -106,6 +106,17 @@ def upsert(df: DataFrame, key: Sequence[str], order_cols: Sequence[str]) -> Data
     return df.groupBy(*key).agg(F.max(F.struct(*ordering)).alias("_row")).select(*key, "_row.*")
 
 
+def merge_upsert(base: DataFrame, changes: DataFrame, key: Sequence[str],
+                 order_cols: Sequence[str] = ()) -> DataFrame:
+    """Apply a batch of writes to a table keyed by ``key``: a key written in
+    ``changes`` takes the changed row (a later write wins), other keys keep
+    their row (O-DM14). Inside one batch, ``order_cols`` (then the remaining
+    columns) pick the winner, as in ``upsert``."""
+    both = (base.withColumn("_batch", F.lit(0))
+            .unionByName(changes.select(*base.columns).withColumn("_batch", F.lit(1))))
+    return upsert(both, key, ["_batch", *order_cols]).drop("_batch").select(*base.columns)
+
+
 def materialize_for_query(df: DataFrame, path: str, partition_key: Sequence[str],
                           clustering: Sequence[str] = (), directories: bool = True,
                           num_partitions: int | None = None, mode: str = "overwrite") -> DataFrame:

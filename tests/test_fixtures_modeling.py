@@ -111,3 +111,18 @@ def test_per_query_layout_splits_a_hot_key(spark, tmp_dir):
     files = [f for f in os.listdir(f"{tmp_dir}/hot/year=1970") if f.endswith(".parquet")]
     assert len(files) >= 4
     assert out.filter("year = 1970").count() == 3900
+
+
+def test_merge_upsert_later_write_wins(spark):
+    from olapkit.operators.modeling import merge_upsert
+
+    lib = rows(spark, LIB_SCHEMA, LIBRARY)
+    change = rows(spark, LIB_SCHEMA, [(1965, "The Beatles", "Rubber Soul", "Abbey Road"),     # overwrite
+                                      (2001, "New Artist", "New Album", "Leeds")])             # insert
+    out = merge_upsert(lib, change, ["year", "artist_name", "album_name"])
+    got = rows_of(out)
+    assert len(got) == 6
+    assert (1965, "The Beatles", "Rubber Soul", "Abbey Road") in got
+    assert (1965, "The Beatles", "Rubber Soul", "Oxford") not in got
+    # applying the same batch twice changes nothing
+    assert rows_of(merge_upsert(out, change, ["year", "artist_name", "album_name"])) == got
