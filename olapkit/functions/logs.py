@@ -30,22 +30,23 @@ ACCESS_LOG_PATTERN_LENIENT = ACCESS_LOG_PATTERN[: -len(r"(\d+)")] + r"(\d+|-)"
 _SEP = "\u0001"   # field separator that cannot occur in a log line
 
 
-def _groups(value: Column, pattern: str, n: int) -> list[Column]:
-    """All capture groups of ``pattern`` from one regex pass.
+def access_log_parts(value: Column, lenient: bool = False) -> Column:
+    """The ten capture groups of a line as one array (NULL when the line does
+    not match): one ``rlike`` and one ``regexp_replace`` per line.
 
     ``regexp_replace`` rewrites a matching line into its groups joined by a
-    separator (one match per line instead of one per field), ``split`` then
-    cuts it. ``try_element_at`` yields NULL instead of raising when a line
-    did not match.
+    separator (one regex match per line instead of one per field) and
+    ``split`` cuts it. Keep the array in its own column when several fields
+    are read from it, so the regex is not re-evaluated per field.
     """
-    repl = _SEP.join(f"${i}" for i in range(1, n + 1))
-    parts = F.split(F.regexp_replace(value, pattern + ".*", repl), _SEP)
-    return [F.try_element_at(parts, F.lit(i)) for i in range(1, n + 1)]
+    pat = ACCESS_LOG_PATTERN_LENIENT if lenient else ACCESS_LOG_PATTERN
+    repl = _SEP.join(f"${i}" for i in range(1, 11))
+    return F.when(value.rlike(pat), F.split(F.regexp_replace(value, pat + ".*", repl), _SEP))
 
 
-def _field_exprs(value: Column, lenient: bool) -> dict[str, Column]:
-    pat = ACCESS_LOG_PATTERN_LENIENT if lenient else ACCESS_LOG_PATTERN
-    g = _groups(value, pat, 10)
+def fields_from_parts(parts: Column, lenient: bool = False) -> dict[str, Column]:
+    """Named fields out of the group array (NULL for a non-matching line)."""
+    g = [F.try_element_at(parts, F.lit(i)) for i in range(1, 11)]
     size = g[9]
     if lenient:
         size = F.when(size == "-", F.lit("0")).otherwise(size)
@@ -53,7 +54,7 @@ def _field_exprs(value: Column, lenient: bool) -> dict[str, Column]:
         "host": g[0],
         "client_identd": g[1],
         "user_id": g[2],
-        "date_time": F.concat_ws(" ", g[3], g[4]),
+        "date_time": F.when(parts.isNotNull(), F.concat_ws(" ", g[3], g[4])),
         "method": g[5],
         "endpoint": g[6],
         "protocol": g[7],
@@ -63,20 +64,25 @@ def _field_exprs(value: Column, lenient: bool) -> dict[str, Column]:
 
 
 def access_log_fields(value: Column, lenient: bool = False) -> list[Column]:
-    """The nine named fields of a matching line (strings)."""
-    return [c.alias(n) for n, c in _field_exprs(value, lenient).items()]
+    """The nine named fields of a line (strings; NULL where it does not match)."""
+    return [c.alias(n) for n, c in fields_from_parts(access_log_parts(value, lenient), lenient).items()]
 
 
 def matches_access_log(value: Column, lenient: bool = False) -> Column:
     return value.rlike(ACCESS_LOG_PATTERN_LENIENT if lenient else ACCESS_LOG_PATTERN)
 
 
-def access_log_map(value: Column, lenient: bool = False) -> Column:
-    """Parsed line as ``map<string,string>`` (NULL when the line does not match)."""
+def map_from_parts(parts: Column, lenient: bool = False) -> Column:
+    """``map<string,string>`` of the named fields (NULL for a non-matching line)."""
     kv = []
-    for name, c in _field_exprs(value, lenient).items():
+    for name, c in fields_from_parts(parts, lenient).items():
         kv.extend([F.lit(name), c])
-    return F.when(matches_access_log(value, lenient), F.create_map(*kv))
+    return F.when(parts.isNotNull(), F.create_map(*kv))
+
+
+def access_log_map(value: Column, lenient: bool = False) -> Column:
+    """Parsed line as ``map<string,string>`` (NULL when the line does not match)."""
+    return map_from_parts(access_log_parts(value, lenient), lenient)
 
 
 def date_time_parts(date_time: Column) -> list[Column]:

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.logs import (access_log_fields, access_log_map, date_time_parts, log_timestamp,
+from ..functions.logs import (access_log_parts, date_time_parts, fields_from_parts, log_timestamp, map_from_parts,
                               matches_access_log)
 
 
@@ -40,17 +40,23 @@ class ParsedLog:
 
 
 def parse_access_log(lines: DataFrame, lenient: bool = False, value: str = "value") -> ParsedLog:
-    """Split lines into parsed rows (nine string fields) and rejected lines."""
+    """Split lines into parsed rows (nine string fields) and rejected lines.
+
+    The group array is computed once per line in its own projection and the
+    fields are read from it.
+    """
     v = F.col(value)
     ok = matches_access_log(v, lenient)
-    parsed = lines.filter(ok).select(*access_log_fields(v, lenient))
+    parts = lines.filter(ok).select(access_log_parts(v, lenient).alias("_parts"))
+    parsed = parts.select(*[c.alias(n) for n, c in fields_from_parts(F.col("_parts"), lenient).items()])
     rejected = lines.filter(~ok | v.isNull())
     return ParsedLog(parsed, rejected)
 
 
 def parsed_map(lines: DataFrame, value: str = "value") -> DataFrame:
     """Lines with a ``parsed`` map column (NULL for non-matching lines)."""
-    return lines.withColumn("parsed", access_log_map(F.col(value)))
+    return (lines.withColumn("_parts", access_log_parts(F.col(value)))
+            .withColumn("parsed", map_from_parts(F.col("_parts"))).drop("_parts"))
 
 
 def map_fields(df: DataFrame, fields, col: str = "parsed") -> DataFrame:
