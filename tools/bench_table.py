@@ -34,6 +34,11 @@ def render(b: dict, title: str) -> str:
     out += ["", f"Star vs 3NF (the reference's untimed S6 comparison): revenue by item, month and city takes "
                 f"{q['star_revenue']} s on the stored star and {q['snowflake_revenue']} s from the 3NF tables; "
                 f"cube vs naive union: {q['olap_cube']} s vs {q['olap_cube_naive']} s. Total of medians: {b['value']} s.", ""]
+    if b.get("all_keys"):
+        slow = sorted(b["all_keys"].items(), key=lambda kv: -kv[1])[:8]
+        out += [f"All {len(b['all_keys'])} registered keys, one timed run each after a warm-up: "
+                f"{b['all_keys_total']} s in total; slowest: "
+                + ", ".join(f"`{k}` {v} s" for k, v in slow) + ".", ""]
     return "\n".join(out)
 
 
