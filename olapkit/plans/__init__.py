@@ -20,6 +20,17 @@ def load_all() -> None:
     _LOADED = True
 
 
+def reset_stored() -> None:
+    """Forget the stored star, SSB tables and 1NF table, so the next query
+    rebuilds them (use when the source tables change within an application)."""
+    load_all()
+    from . import modeling, ssb, warehouse
+
+    warehouse._STARS.clear()
+    ssb._LOADED.clear()
+    modeling._NF1_STORED.clear()
+
+
 def queries():
     load_all()
     return dict(QUERIES)
@@ -30,4 +41,4 @@ def oracle_sql():
     return dict(ORACLE)
 
 
-__all__ = ["ORACLE", "QUERIES", "query", "queries", "oracle_sql", "load_all"]
+__all__ = ["ORACLE", "QUERIES", "query", "queries", "oracle_sql", "load_all", "reset_stored"]

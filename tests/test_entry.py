@@ -18,3 +18,16 @@ def test_queries_and_oracles_line_up():
     assert set(q) == set(o)
     assert all(callable(f) for f in q.values())
     assert all(isinstance(s, str) and s.strip() for s in o.values())
+
+
+def test_reset_stored_rebuilds(spark):
+    from olapkit import plans
+
+    from .conftest import SF_SMALL
+
+    a = sorted(tuple(r) for r in plans.queries()["olap_cube"](spark, SF_SMALL).collect())
+    plans.reset_stored()
+    from olapkit.plans import warehouse
+    assert not warehouse._STARS
+    b = sorted(tuple(r) for r in plans.queries()["olap_cube"](spark, SF_SMALL).collect())
+    assert a == b and warehouse._STARS
