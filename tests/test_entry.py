@@ -23,11 +23,11 @@ def test_queries_and_oracles_line_up():
 def test_reset_stored_rebuilds(spark):
     from olapkit import plans
 
-    from .conftest import SF_SMALL
+    from .conftest import SF_SMALL, rows_of
 
-    a = sorted(tuple(r) for r in plans.queries()["olap_cube"](spark, SF_SMALL).collect())
+    a = rows_of(plans.queries()["olap_cube"](spark, SF_SMALL))
     plans.reset_stored()
     from olapkit.plans import warehouse
     assert not warehouse._STARS
-    b = sorted(tuple(r) for r in plans.queries()["olap_cube"](spark, SF_SMALL).collect())
+    b = rows_of(plans.queries()["olap_cube"](spark, SF_SMALL))
     assert a == b and warehouse._STARS
