@@ -71,3 +71,16 @@ def test_ssb_answers_equal_across_layouts(spark, tables, tmp_dir):
     for name in SSB_QUERIES:
         a, b, c = (rows_of(run_ssb(spark, x, name)) for x in (src, plain, dist))
         assert a == b == c, name
+
+
+def test_three_session_definitions(spark):
+    """(user_id, ts) is unique in events, so the RANGE (DataFrame) and ROWS
+    (SQL) period definitions agree there; the ratio of totals is another
+    quantity (plays per home visit over all users)."""
+    q = plans.queries()
+    rng = q["songs_per_session"](spark, SF_SMALL).first()
+    rows = q["sessions_sql"](spark, SF_SMALL).first()
+    ratio = q["songs_per_home_ratio"](spark, SF_SMALL).first()
+    assert rng["avg_songs"] == rows["avg_songs"]
+    assert rng["avg_songs_rounded"] == round(rng["avg_songs"])
+    assert ratio["ratio"] == ratio["nextsong_total"] / ratio["home_total"]
