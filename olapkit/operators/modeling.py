@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.readers import sized_count
+
 _LOCAL_BITS = 33   # monotonically_increasing_id: partition id above bit 33, row index below
 
 
@@ -40,13 +42,13 @@ def add_surrogate_key(df: DataFrame, order_cols: Sequence[str], id_col: str = "i
     ``monotonically_increasing_id`` (partition id in the high bits), and each
     partition's offset is the running sum of the partition sizes, a table
     with one row per partition (bounded by ``num_partitions``, so its
-    broadcast is safe). The sorted input is checkpointed to the shared
+    broadcast is safe; by default one partition per 256 MB of input). The
+    sorted input is checkpointed to the shared
     checkpoint folder so a recomputation after a lost executor sees the same
     rows in the same places. ``order_cols`` should be unique per row (add a
     key as the last column) so ties cannot split unevenly.
     """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or sized_count(df)
     order_cols = list(order_cols)
     ranked = (df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
               .withColumn("_pid", F.spark_partition_id())
@@ -129,7 +131,7 @@ def materialize_for_query(df: DataFrame, path: str, partition_key: Sequence[str]
     (the hash is deterministic, so a recomputed task sees the same rows)."""
     keys = [*partition_key, *clustering]
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or sized_count(df)
     spread = F.xxhash64(*[F.col(c) for c in df.columns])
     laid = df.repartitionByRange(n, *[F.col(k) for k in keys], spread).sortWithinPartitions(*keys)
     w = laid.write.mode(mode)

@@ -8,7 +8,7 @@ import uuid
 
 from ..operators.ssb import SsbTables, materialize, run_ssb, ssb_tables
 from ..session import scratch_path
-from ..sources.readers import Tables
+from ..sources.readers import Tables, sized_count
 from .registry import query
 from .sqlbits import DATE_KEY
 
@@ -41,8 +41,9 @@ def loaded_ssb(t: Tables) -> SsbTables:
     if tabs is None:
         spark = t.spark
         db = f"olapkit_ssb_{uuid.uuid4().hex[:10]}"
-        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        tabs = materialize(spark, ssb_tables(t), db, "dist", buckets=buckets, location=scratch_path(spark, db))
+        src = ssb_tables(t)
+        buckets = sized_count(src.lineorder, target_bytes=1 << 30)   # ~1 GB of input per bucket
+        tabs = materialize(spark, src, db, "dist", buckets=buckets, location=scratch_path(spark, db))
         _LOADED[key] = tabs
     return tabs
 

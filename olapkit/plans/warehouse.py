@@ -9,7 +9,7 @@ from ..operators.olap import CubeQuery
 from ..operators.star import (REVENUE, Star, build_dim_customer, build_dim_date, build_dim_item, build_dim_store,
                               build_fact, build_star, customer_geo, read_star, sales, supplier_geo, write_star)
 from ..session import scratch_path
-from ..sources.readers import Tables
+from ..sources.readers import Tables, sized_count
 from .registry import query
 from .sqlbits import DIM_CUSTOMER, DIM_DATE, DIM_ITEM, DIM_STORE, FACT, SALE, STAR, with_ctes
 
@@ -36,7 +36,8 @@ def stored_star(t: Tables) -> Star:
     star = _STARS.get(key)
     if star is None:
         path = scratch_path(t.spark, "star")
-        write_star(build_star(t), path)
+        star = build_star(t)
+        write_star(star, path, num_partitions=sized_count(star.fact))
         star = read_star(t.spark, path)
         _STARS[key] = star
     return star

@@ -105,3 +105,25 @@ def describe_columns(df: DataFrame) -> DataFrame:
 def with_epoch_ms(df: DataFrame, ts_col: str = "ts", out: str = "ts_ms") -> DataFrame:
     """Epoch milliseconds of a NTZ timestamp (session time zone is UTC)."""
     return df.withColumn(out, F.unix_millis(F.col(ts_col).cast("timestamp")))
+
+
+def input_bytes(*frames: DataFrame) -> int:
+    """Total size of the files the frames read (file listing only: the
+    ``binaryFile`` content column is pruned, so no file body is read)."""
+    files = sorted({f for df in frames for f in df.inputFiles()})
+    if not files:
+        return 0
+    spark = frames[0].sparkSession
+    total = spark.read.format("binaryFile").load(files).agg(F.sum("length")).first()[0]
+    return int(total or 0)
+
+
+def sized_count(*frames: DataFrame, target_bytes: int = 256 << 20, maximum: int = 100_000) -> int:
+    """A partition or bucket count for writing ``frames``' data: one per
+    ``target_bytes`` of input, at least the cluster's default parallelism,
+    at most ``maximum``."""
+    import math
+
+    spark = frames[0].sparkSession
+    n = math.ceil(input_bytes(*frames) / target_bytes)
+    return max(1, min(maximum, max(spark.sparkContext.defaultParallelism, n)))
