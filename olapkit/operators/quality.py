@@ -24,22 +24,46 @@ def fk_orphans(relations: Sequence[ForeignKey]) -> DataFrame:
     """Child rows whose (non-NULL) reference has no parent, counted per
     relation (O-DQ2).
 
-    Child keys are counted first (partial aggregation on the map side, so a
-    hot key ships one row per input partition), then the distinct keys are
-    anti-joined with the parent keys and their counts summed. All relations
-    run in one unioned plan.
+    Each child table is scanned once, however many foreign keys it has: its
+    key columns become tagged (relation, key) rows, which are counted per
+    key first (partial aggregation on the map side, so a hot key ships one
+    row per input partition). One outer join against the distinct tagged
+    parent keys then finds the orphans of every relation, and relations
+    without orphans are reported with 0. Pass the same DataFrame object as ``child`` for
+    relations of one table to share its scan.
     """
-    parts = []
+    spark = relations[0].child.sparkSession
+    integral = all(isinstance(r.child.schema[r.fk].dataType, T.IntegralType)
+                   and isinstance(r.parent.schema[r.pk].dataType, T.IntegralType) for r in relations)
+    key_type = "bigint" if integral else "string"
+
+    by_child: dict[int, tuple[DataFrame, list[ForeignKey]]] = {}
     for r in relations:
-        child = (r.child.select(F.col(r.fk).alias("_k")).filter(F.col("_k").isNotNull())
-                 .groupBy("_k").agg(F.count(F.lit(1)).alias("_n")))
-        parent = r.parent.select(F.col(r.pk).alias("_k"))
-        parts.append(child.join(parent, "_k", "left_anti")
-                     .agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("orphans"))
-                     .select(F.lit(r.name).alias("relation"), "orphans"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+        by_child.setdefault(id(r.child), (r.child, []))[1].append(r)
+    tagged = []
+    for child, rels in by_child.values():
+        keys = F.array(*[F.struct(F.lit(r.name).alias("relation"), F.col(r.fk).cast(key_type).alias("_k"))
+                         for r in rels])
+        tagged.append(child.select(F.explode(keys).alias("_r")).select("_r.relation", "_r._k"))
+    child_keys = _union(tagged).filter(F.col("_k").isNotNull()) \
+        .groupBy("relation", "_k").agg(F.count(F.lit(1)).alias("_n"))
+    # distinct parent keys (partial aggregation too), then a left outer join +
+    # NULL test: an anti join here would be pushed below the aggregate and
+    # the union, joining every child branch with all parent keys
+    parent_keys = (_union([r.parent.select(F.lit(r.name).alias("relation"),
+                                           F.col(r.pk).cast(key_type).alias("_k")) for r in relations])
+                   .distinct().withColumn("_hit", F.lit(True)))
+    orphans = (child_keys.join(parent_keys, ["relation", "_k"], "left").filter(F.col("_hit").isNull())
+               .groupBy("relation").agg(F.sum("_n").alias("_o")))
+    names = spark.createDataFrame([(r.name,) for r in relations], "relation string")
+    return (names.join(orphans, "relation", "left")
+            .select("relation", F.coalesce(F.col("_o"), F.lit(0)).cast("bigint").alias("orphans")))
+
+
+def _union(frames: Sequence[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
     return out
 
 

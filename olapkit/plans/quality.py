@@ -31,9 +31,14 @@ _FK_SQL = " UNION ALL ".join(
 @query("fk_orphans", _FK_SQL)
 def fk_orphans_q(t: Tables):
     """REFERENCES check: orphan rows per relation (O-DQ2)."""
+    frames = {}
+
     def frame(table, cond):
-        df = t.get(table)
-        return df.filter(cond) if cond else df
+        # one DataFrame object per (table, filter): relations of one child table share its scan
+        if (table, cond) not in frames:
+            df = t.get(table)
+            frames[(table, cond)] = df.filter(cond) if cond else df
+        return frames[(table, cond)]
     rels = [ForeignKey(name, frame(ct, cc), fk, frame(pt, pc), pk) for name, ct, cc, fk, pt, pc, pk in _RELATIONS]
     return fk_orphans(rels)
 
