@@ -84,3 +84,10 @@ def test_three_session_definitions(spark):
     assert rng["avg_songs"] == rows["avg_songs"]
     assert rng["avg_songs_rounded"] == round(rng["avg_songs"])
     assert ratio["ratio"] == ratio["nextsong_total"] / ratio["home_total"]
+
+
+def test_fk_check_scans_each_child_once(spark):
+    plan = plan_text(plans.queries()["fk_orphans"](spark, SF_SMALL), mode="simple")
+    scans = [line for line in plan.splitlines() if "FileScan parquet" in line and "lineitem.parquet" in line]
+    assert len(scans) == 1                      # three relations share one lineitem scan
+    assert "LeftAnti" not in plan               # no anti join pushed through the union
