@@ -135,3 +135,17 @@ def test_tables_from_catalog(spark):
     # a registered job runs on catalog tables too
     q = plans.queries()["point_lookup"]
     assert rows_of(q(spark, None)) == rows_of(q(spark, SF_SMALL))
+
+
+def test_sized_count_follows_input_bytes(spark, tables):
+    import os
+
+    from olapkit.sources.readers import input_bytes, sized_count
+
+    li = tables.lineitem
+    on_disk = sum(os.path.getsize(f.replace("file://", "").replace("file:", "")) for f in li.inputFiles())
+    assert input_bytes(li) == on_disk
+    par = spark.sparkContext.defaultParallelism
+    assert sized_count(li) == par                                   # small input: the parallelism floor
+    assert sized_count(li, target_bytes=1024) == min(100_000, max(par, -(-on_disk // 1024)))
+    assert sized_count(spark.range(10)) == par                      # no files: floor
