@@ -1,5 +1,7 @@
 """The driver contract in __spark_entry__.py."""
 
+import re
+
 import __spark_entry__ as entry
 
 
@@ -14,8 +16,9 @@ def test_entry_runs_flagship(spark):
 
 def test_queries_and_oracles_line_up():
     q, o = entry.queries(), entry.oracle_sql()
-    assert len(q) >= 90
-    assert set(q) == set(o)
+    own = {k for k in q if k != "pipeline" and not re.match(r"op\d+_", k)}
+    assert len(own) >= 90
+    assert own <= set(o) <= set(q)
     assert all(callable(f) for f in q.values())
     assert all(isinstance(s, str) and s.strip() for s in o.values())
 
