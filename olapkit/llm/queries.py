@@ -6,13 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, quality_rules
+from . import mixing, packing, quality_rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def vocabulary() -> str:
+    """The tokenizer file of the installed package of public vocabularies."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule bitmask ledger over all documents, judged by the default policy."""
     return quality_rules.report(_table(spark, sf_dir, "documents"))
@@ -23,7 +30,12 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(_table(spark, sf_dir, "documents"))
 
 
+def op9_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vector bin packing of all documents."""
+    return packing.report(_table(spark, sf_dir, "documents"), vocabulary())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_quality_rules, op10_source_mix)}
+    f.__name__: f for f in (op2_quality_rules, op9_vector_packing, op10_source_mix)}
 
 ORACLE_SQL: dict[str, str] = {"op2_quality_rules": quality_rules.op2_sql(), "op10_source_mix": mixing.OP10_SQL}
