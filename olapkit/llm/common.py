@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -40,3 +43,24 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def crc_remainder(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id written as text, modulo ``modulus`` (null for a null id)."""
     return F.pmod(F.crc32(F.encode(doc_id.cast("string"), "UTF-8")), F.lit(modulus))
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package (once per application), so that Python functions of it can be loaded there
+    without a shared installation."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    archive = os.path.join(tempfile.mkdtemp(prefix="olapkit-"), "olapkit_package.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(root)))
+    sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)
