@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, packing, pii, quality_rules
+from . import mixing, ngram_join, packing, pii, quality_rules
 from .common import ship
 
 
@@ -37,6 +37,11 @@ def op5_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(_table(spark, sf_dir, "documents"))
 
 
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """N-gram Jaccard join of all documents by vertical partitioning."""
+    return ngram_join.report(_table(spark, sf_dir, "documents"))
+
+
 def op9_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vector bin packing of all documents."""
     return packing.report(_table(spark, sf_dir, "documents"), vocabulary())
@@ -52,6 +57,6 @@ def _registered(job: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spar
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: _registered(f) for f in (
-    op2_quality_rules, op5_contextual_pii, op9_vector_packing, op10_source_mix)}
+    op2_quality_rules, op5_contextual_pii, op7_ngram_jaccard, op9_vector_packing, op10_source_mix)}
 
 ORACLE_SQL: dict[str, str] = {"op2_quality_rules": quality_rules.op2_sql(), "op10_source_mix": mixing.OP10_SQL}
