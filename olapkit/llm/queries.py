@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, ngram_join, packing, pii, quality_rules
+from . import mixing, ngram_join, packing, pii, quality_rules, toxicity
 from .common import ship
 
 
@@ -22,6 +22,11 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents by class-conditional Kneser-Ney models."""
+    return toxicity.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule bitmask ledger over all documents, judged by the default policy."""
     return quality_rules.report(_table(spark, sf_dir, "documents"))
@@ -57,6 +62,6 @@ def _registered(job: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spar
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: _registered(f) for f in (
-    op2_quality_rules, op5_contextual_pii, op7_ngram_jaccard, op9_vector_packing, op10_source_mix)}
+    op1_toxicity, op2_quality_rules, op5_contextual_pii, op7_ngram_jaccard, op9_vector_packing, op10_source_mix)}
 
 ORACLE_SQL: dict[str, str] = {"op2_quality_rules": quality_rules.op2_sql(), "op10_source_mix": mixing.OP10_SQL}
