@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, ngram_join, packing, pii, quality_rules, toxicity
+from . import mixing, ngram_join, packing, pii, quality_knn, quality_rules, toxicity
 from .common import ship
 
 
@@ -42,6 +42,11 @@ def op5_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(_table(spark, sf_dir, "documents"))
 
 
+def op6_quality_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents by votes of their nearest labelled neighbours."""
+    return quality_knn.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """N-gram Jaccard join of all documents by vertical partitioning."""
     return ngram_join.report(_table(spark, sf_dir, "documents"))
@@ -62,6 +67,7 @@ def _registered(job: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spar
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: _registered(f) for f in (
-    op1_toxicity, op2_quality_rules, op5_contextual_pii, op7_ngram_jaccard, op9_vector_packing, op10_source_mix)}
+    op1_toxicity, op2_quality_rules, op5_contextual_pii, op6_quality_neighbours,
+    op7_ngram_jaccard, op9_vector_packing, op10_source_mix)}
 
 ORACLE_SQL: dict[str, str] = {"op2_quality_rules": quality_rules.op2_sql(), "op10_source_mix": mixing.OP10_SQL}

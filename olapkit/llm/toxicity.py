@@ -133,15 +133,18 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 50)
     return w
 
 
-def sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held: int, size: int) -> DataFrame:
-    """(text, label, fold) of the training sample: of each class at most ``size`` rows, the smallest by id hash. The
-    chosen ids (at most twice ``size``) are broadcast; texts are not shuffled."""
+def sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held: int, size: int,
+           balanced: bool = True) -> DataFrame:
+    """(text, label, fold) of the training sample: the rows smallest by id hash, at most ``size`` of each class, or
+    twice ``size`` of both in their own proportion. The chosen ids are broadcast; texts are not shuffled."""
     known = labels.select("doc_id", F.col(label).cast("int").alias("label")).where(
         F.col("label").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("label").alias("label"))
     known = known.where(crc_remainder(F.col("doc_id"), modulus) != held).withColumn(
         "order", F.xxhash64("doc_id", F.lit(modulus)))
-    best = [known.where(F.col("label") == c).orderBy("order", "doc_id").limit(size) for c in (0, 1)]
-    chosen = best[0].unionByName(best[1]).select(
+    first = lambda rows, n: rows.orderBy("order", "doc_id").limit(n)
+    best = first(known, 2 * size) if not balanced else first(known.where("label = 0"), size).unionByName(
+        first(known.where("label = 1"), size))
+    chosen = best.select(
         "doc_id", "label", F.pmod("order", F.lit(FOLDS)).cast("int").alias("fold"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(
         F.length("text") <= SAMPLE_CHARS)
