@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, ngram_join, packing, pii, quality_knn, quality_rules, toxicity
+from . import lm_score, mixing, ngram_join, packing, pii, quality_knn, quality_rules, toxicity
 from .common import ship
 
 
@@ -52,6 +52,11 @@ def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.report(_table(spark, sf_dir, "documents"))
 
 
+def op8_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cross-entropy difference of all documents between conversations (target) and documents (background)."""
+    return lm_score.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "conversations"))
+
+
 def op9_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vector bin packing of all documents."""
     return packing.report(_table(spark, sf_dir, "documents"), vocabulary())
@@ -68,6 +73,6 @@ def _registered(job: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spar
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: _registered(f) for f in (
     op1_toxicity, op2_quality_rules, op5_contextual_pii, op6_quality_neighbours,
-    op7_ngram_jaccard, op9_vector_packing, op10_source_mix)}
+    op7_ngram_jaccard, op8_cross_entropy_difference, op9_vector_packing, op10_source_mix)}
 
 ORACLE_SQL: dict[str, str] = {"op2_quality_rules": quality_rules.op2_sql(), "op10_source_mix": mixing.OP10_SQL}
