@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import lm_score, mixing, ngram_join, packing, pii, quality_knn, quality_rules, toxicity
+from . import lm_score, mixing, ngram_join, packing, pii, quality_knn, quality_rules, topk, toxicity, warc
 from .common import ship
 
 
@@ -37,6 +37,16 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(_table(spark, sf_dir, "documents"))
 
 
+def op3_archive_converter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as legacy archives, converted to WARC, and read back."""
+    return warc.report(_table(spark, sf_dir, "pages"))
+
+
+def op4_nra_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact top 20 by inner product, without random access."""
+    return topk.report(_table(spark, sf_dir, "embeddings"))
+
+
 def op5_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in all documents, with identifiers found by bootstrapped contexts."""
     return pii.report(_table(spark, sf_dir, "documents"))
@@ -72,7 +82,8 @@ def _registered(job: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spar
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: _registered(f) for f in (
-    op1_toxicity, op2_quality_rules, op5_contextual_pii, op6_quality_neighbours,
+    op1_toxicity, op2_quality_rules, op3_archive_converter, op4_nra_topk, op5_contextual_pii, op6_quality_neighbours,
     op7_ngram_jaccard, op8_cross_entropy_difference, op9_vector_packing, op10_source_mix)}
 
-ORACLE_SQL: dict[str, str] = {"op2_quality_rules": quality_rules.op2_sql(), "op10_source_mix": mixing.OP10_SQL}
+ORACLE_SQL: dict[str, str] = {"op2_quality_rules": quality_rules.op2_sql(), "op3_archive_converter": warc.OP3_SQL,
+                              "op4_nra_topk": topk.OP4_SQL, "op10_source_mix": mixing.OP10_SQL}
