@@ -58,21 +58,21 @@ def _sets(batch: pa.RecordBatch, column: int, n: int):
         yield row, shingles(words, n)
 
 
+def _slices(batches, rows: int = 512):
+    """Batches of at most ``rows`` rows, so that what is made of a batch stays small."""
+    for b in batches:
+        for at in range(0, len(b), rows):
+            yield b.slice(at, rows)
+
+
 def _sketch(texts: DataFrame, n: int) -> tuple[np.ndarray, float]:
     """Counters of all shingles as levels (8 log2(1 + count), one byte each, 4 MB), and their mean."""
 
     def count(batches):
         total = np.zeros(1 << SLOT_BITS, np.uint32)
         for b in batches:
-            held, size = [], 0
             for _, s in _sets(b, 0, n):
-                held.append(s)
-                size += len(s)
-                if size > 1 << 20:
-                    total += np.bincount(_slots(np.concatenate(held)), minlength=len(total)).astype(np.uint32)
-                    held, size = [], 0
-            if held:
-                total += np.bincount(_slots(np.concatenate(held)), minlength=len(total)).astype(np.uint32)
+                np.add.at(total, _slots(s), 1)
         blocks = total.reshape(-1, 1 << BLOCK_BITS)
         used = np.flatnonzero(blocks.any(axis=1))
         for k in range(0, len(used), 256):
@@ -130,7 +130,7 @@ def _prefixes(docs: DataFrame, levels, mean: float, n: int) -> DataFrame:
 
     def run(batches):
         level = levels.value
-        for b in batches:
+        for b in _slices(batches):
             ids = b.column(0)
             rows, sizes, digests, rare, common = [], [], [], [], []
             for row, s in _sets(b, 1, n):
@@ -221,7 +221,7 @@ def _fragments(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
 
     def cut(batches):
         edges = (np.arange(1, FRAGMENTS, dtype=np.uint64) << np.uint64(64 - FRAGMENTS.bit_length() + 1))
-        for b in batches:
+        for b in _slices(batches):
             nodes, digests = b.column(0).to_pylist(), b.column(1).to_pylist()
             out: tuple[list, list, list] = ([], [], [])
             for row, s in _sets(b, 2, n):
@@ -270,7 +270,7 @@ def _difference_pairs(members: DataFrame, fragments: DataFrame, levels) -> DataF
 
     def lead(batches):
         level = levels.value
-        for b in batches:
+        for b in _slices(batches):
             hubs, nodes, sizes, hub_sizes = (b.column(k).to_numpy() for k in range(4))
             out: tuple[list, ...] = ([], [], [], [], [], [])
             for k, diff in enumerate(b.column(4)):
@@ -350,7 +350,9 @@ def report(docs: DataFrame) -> DataFrame:
 def distinct_documents(docs: DataFrame) -> DataFrame:
     """One row of each component, the one with the smallest id, with the columns of ``docs``. Rows with a null id stay."""
     first = report(docs).where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    row = Window.partitionBy("doc_id").orderBy(F.length("text"), F.md5("text"))
-    kept = docs.where("doc_id IS NOT NULL").join(first, F.col("doc_id") == F.col("kept_id"), "left_semi")
-    kept = kept.withColumn("__row", F.row_number().over(row)).where("__row = 1").drop("__row")
-    return kept.unionByName(docs.where("doc_id IS NULL"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id")
+    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.length("row.text"), F.md5("row.text")))
+    kept = rows.where("doc_id IS NOT NULL").join(first, F.col("doc_id") == F.col("kept_id"), "left_semi")
+    kept = kept.withColumn("nth", nth).where("nth = 1").select("row")
+    kept = kept.unionByName(rows.where("doc_id IS NULL").select("row"))
+    return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
