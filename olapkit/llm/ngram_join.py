@@ -15,8 +15,9 @@ A document is its set of five-word shingles (64-bit hashes). Two documents link
    linked to hub h can still link to any member y. With ``X = x ^ h`` (few shingles for near copies), ``x ^ y = X ^ Y``
    and ``2 * |Z & Y| >= |Z| + |Y| - (|z| + |y|) / 9``; as z is not linked, ``9 * |Z| > |z| + |h|``. So z and y share an
    element among the first ``|Y| - s(y) + 1`` of Y and the first ``|Z| - s(z) + 1`` of Z, rare first, with
-   ``s(y) = (9 |Y| - |y| + |h| + 1) / 18`` and ``s(z) = |Z| - |z| / 4``. Common shingles of the group are in no
-   difference, so these buckets stay small where whole prefixes would meet in all pairs.
+   ``s(y) = (9 |Y| - |y| + |h| + 1) / 18`` and ``s(z) = |Z| - |z| / 4``; and at their first common element both must
+   have enough elements left. Common shingles of the group are in no difference, so these buckets stay small where
+   whole prefixes would meet in all pairs.
 6. Links give components by alternating stars; labels go back to the documents by their digest.
 
 No link between different sets is lost, there are no caps, and a group of n near copies costs about n rows, not n^2.
@@ -272,7 +273,7 @@ def _difference_pairs(members: DataFrame, fragments: DataFrame, levels) -> DataF
         level = levels.value
         for b in _slices(batches):
             hubs, nodes, sizes, hub_sizes = (b.column(k).to_numpy() for k in range(4))
-            out: tuple[list, ...] = ([], [], [], [], [], [])
+            out: tuple[list, ...] = ([], [], [], [], [], [], [], [])
             for k, diff in enumerate(b.column(4)):
                 e = np.sort(np.asarray(diff.values, np.int64).view(np.uint64))
                 e = e[np.argsort(level[_slots(e)], kind="stable")]
@@ -288,16 +289,22 @@ def _difference_pairs(members: DataFrame, fragments: DataFrame, levels) -> DataF
                 out[3].append(e[:m].view(np.int64))
                 out[4].append(place < as_z)
                 out[5].append(place < as_y)
+                out[6].append(np.full(m, d))
+                out[7].append(d - place)
             cols = [np.concatenate(c) if c else np.empty(0, np.int64) for c in out]
-            types = [pa.int64()] * 4 + [pa.bool_()] * 2
+            types = [pa.int64()] * 4 + [pa.bool_()] * 2 + [pa.int64()] * 2
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
-                                             ["hub", "node", "n", "element", "as_z", "as_y"])
-
-    lists = stored(both.mapInArrow(lead, "hub long, node long, n long, element long, as_z boolean, as_y boolean"),
-                   "join-differences")
-    z = lists.where("as_z").select("hub", "element", F.col("node").alias("z"), F.col("n").alias("xn"))
-    y = lists.where("as_y").select("hub", "element", F.col("node").alias("o"), F.col("n").alias("yn"))
-    pairs = z.join(y, ["hub", "element"]).where("z <> o").where(_fits())
+                                             ["hub", "node", "n", "element", "as_z", "as_y", "size", "left"])
+
+    lists = stored(both.mapInArrow(lead, "hub long, node long, n long, element long, as_z boolean, as_y boolean, "
+                                         "size long, left long"), "join-differences")
+    z = lists.where("as_z").select("hub", "element", F.col("node").alias("z"), F.col("n").alias("xn"),
+                                   F.col("size").alias("zd"), F.col("left").alias("zl"))
+    y = lists.where("as_y").select("hub", "element", F.col("node").alias("o"), F.col("n").alias("yn"),
+                                   F.col("size").alias("yd"), F.col("left").alias("yl"))
+    # from the first common element on, no more elements can be common than either list has left
+    enough = 18 * F.least("zl", "yl") >= 9 * (F.col("zd") + F.col("yd")) - F.col("xn") - F.col("yn")
+    pairs = z.join(y, ["hub", "element"]).where("z <> o").where(_fits()).where(enough)
     return pairs.select(F.least("z", "o").alias("x"), F.greatest("z", "o").alias("y")).distinct()
 
 
