@@ -1,14 +1,15 @@
 """Session setup shared by jobs, tests and the bench.
 
 On a cluster the session already exists and carries the cluster's settings;
-``get_session`` then only fills in what is unset. Locally (tests, bench) it
-builds a ``local[N]`` session with the settings the jobs assume.
+``configure`` then only fills in what nobody has set. Locally (tests, bench)
+``get_session`` builds a ``local[N]`` session with the settings the jobs assume.
 """
 
 from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -26,7 +27,7 @@ JOB_CONF = {
 LOCAL_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    "spark.driver.memory": "16g",
+    "spark.driver.memory": "8g",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
@@ -53,21 +54,24 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def configure(spark: SparkSession) -> None:
-    """Apply the job settings to an existing session (runtime SQL confs only)."""
+    """Fill in the job settings that neither the cluster nor the user has set (runtime SQL confs only)."""
+    have = spark.conf.getAll
     for k, v in JOB_CONF.items():
-        spark.conf.set(k, v)
-    ensure_checkpoint_dir(spark)
+        if k not in have:
+            spark.conf.set(k, v)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for checkpoints and intermediate tables.
+    """Shared folder for checkpoints and intermediate tables: the one named by ``spark.checkpoint.dir``.
 
-    Uses ``spark.checkpoint.dir`` when the cluster names one. Only when it is
-    unset (local tests) a fresh scratch folder is created.
+    Where it is unset, a local session gets a fresh scratch folder; a cluster
+    is refused, since a folder of the driver's machine is not the executors'.
     """
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="olapkit-ckpt-", dir=os.environ.get("OLAPKIT_SCRATCH", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", d)
     if sc.getCheckpointDir() is None:
@@ -76,8 +80,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A unique path under the shared checkpoint folder for a written table."""
-    import uuid
-
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
+    """A unique path under the shared folder for a written table. The application's tables are removed when its
+    session ends."""
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/olapkit-{spark.sparkContext.applicationId}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.mkdirs(path):
+        fs.deleteOnExit(path)
+    return f"{root}/{name}-{uuid.uuid4().hex[:12]}"

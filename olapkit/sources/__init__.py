@@ -1,11 +1,12 @@
 """Readers and writers (O-S*, O-K*)."""
 
-from .readers import (Tables, bulk_load, describe_columns, list_files, read_csv, read_events_json,
-                      read_log_lines, read_table, register, rows, with_epoch_ms)
+from .readers import (Loaded, Tables, bulk_load, bulk_load_checked, describe_columns, list_files, read_csv,
+                      read_events_json, read_log_lines, read_table, register, rows)
+from .stored import input_bytes, stored
 from .writers import align_to_schema, insert_into, load_tables, write_csv, write_layout, write_parquet
 
 __all__ = [
-    "Tables", "bulk_load", "describe_columns", "list_files", "read_csv", "read_events_json",
-    "read_log_lines", "read_table", "register", "rows", "with_epoch_ms", "align_to_schema",
-    "insert_into", "load_tables", "write_csv", "write_layout", "write_parquet",
+    "Loaded", "Tables", "bulk_load", "bulk_load_checked", "describe_columns", "list_files", "read_csv",
+    "read_events_json", "read_log_lines", "read_table", "register", "rows", "input_bytes", "stored",
+    "align_to_schema", "insert_into", "load_tables", "write_csv", "write_layout", "write_parquet",
 ]

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .stored import input_bytes
+
 
 def read_table(spark: SparkSession, root: str | None, name: str) -> DataFrame:
     """Scan a relational table: ``{root}/{name}.parquet`` or a catalog table.
@@ -36,10 +40,12 @@ class Tables:
         return read_table(self.spark, self.root, name)
 
 
-def read_events_json(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
+def read_events_json(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
+                     mode: str = "FAILFAST") -> DataFrame:
     """Newline-delimited JSON event log. An explicit schema avoids the
-    inference pass over the whole input."""
-    reader = spark.read
+    inference pass over the whole input. A broken line fails the job unless
+    another ``mode`` is asked for."""
+    reader = spark.read.option("mode", mode)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.json(path)
@@ -51,29 +57,62 @@ def read_log_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
-             sep: str = ",", header: bool = True) -> DataFrame:
-    """CSV with header. Without a schema every column is a string."""
-    reader = spark.read.option("header", header).option("sep", sep)
+             sep: str = ",", header: bool = True, mode: str = "FAILFAST") -> DataFrame:
+    """CSV with header. Without a schema every column is a string. A row that
+    does not fit fails the job unless another ``mode`` is asked for."""
+    reader = spark.read.option("header", header).option("sep", sep).option("mode", mode)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.csv(path)
 
 
+def _schema(schema: T.StructType | str) -> T.StructType:
+    return T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+
+
 def bulk_load(spark: SparkSession, path_glob: str, schema: T.StructType | str, sep: str = ";",
               header: bool = False, min_partitions: int | None = None) -> DataFrame:
-    """Delimited (optionally gz) files with a declared schema.
+    """Delimited (optionally gz) files with a declared schema. A row with
+    missing or extra fields, or a value that is not of its type, fails the
+    load; see ``bulk_load_checked`` to keep the good rows.
 
     Split part files load as one task each. A single gz file is not
     splittable and arrives as one partition; ``min_partitions`` spreads it
     afterwards with a round-robin repartition.
     """
     df = (spark.read.option("sep", sep).option("header", header)
-          .option("mode", "PERMISSIVE").schema(schema).csv(path_glob))
+          .option("mode", "FAILFAST").schema(_schema(schema)).csv(path_glob))
     if min_partitions is not None and df.rdd.getNumPartitions() < min_partitions:
         df = df.repartition(min_partitions)
     return df
 
 
+@dataclass
+class Loaded:
+    rows: DataFrame
+    rejects: DataFrame
+
+
+def bulk_load_checked(spark: SparkSession, path_glob: str, schema: T.StructType | str, sep: str = ";",
+                      header: bool = False) -> Loaded:
+    """As ``bulk_load``, but rows that do not fit go to ``rejects`` (column
+    ``line``) instead of failing the load. No row is lost: every line is in
+    one of the two frames. A line is a row: no line breaks inside quotes."""
+    declared = _schema(schema)
+    full = T.StructType([*declared.fields, T.StructField("_bad", T.StringType())])
+    lines = spark.read.text(path_glob)
+    if header:
+        lines = lines.where(F.col("value") != sep.join(f.name for f in declared.fields))
+    options = {"sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
+    fields = sum(1 for _ in declared.fields)
+    parsed = lines.select("value", F.from_csv("value", full.simpleString()[7:-1].replace(":", " "), options).alias("r"))
+    # the parser takes a short row as NULLs; its number of separators tells
+    short = F.size(F.split("value", re.escape(sep))) < fields
+    bad = F.col("r").isNull() | F.col("r._bad").isNotNull() | short
+    names = [F.col(f"r.`{f.name}`") for f in declared.fields]
+    return Loaded(parsed.where(~bad).select(*names), parsed.where(bad).select(F.col("value").alias("line")))
+
+
 def list_files(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
     """Files under a prefix with size and modification time. The binary
     content column is pruned, so file bodies are never read."""
@@ -102,28 +141,8 @@ def describe_columns(df: DataFrame) -> DataFrame:
         data, "ordinal_position int, column_name string, data_type string, is_nullable boolean")
 
 
-def with_epoch_ms(df: DataFrame, ts_col: str = "ts", out: str = "ts_ms") -> DataFrame:
-    """Epoch milliseconds of a NTZ timestamp (session time zone is UTC)."""
-    return df.withColumn(out, F.unix_millis(F.col(ts_col).cast("timestamp")))
-
-
-def input_bytes(*frames: DataFrame) -> int:
-    """Total size of the files the frames read (file listing only: the
-    ``binaryFile`` content column is pruned, so no file body is read)."""
-    files = sorted({f for df in frames for f in df.inputFiles()})
-    if not files:
-        return 0
-    spark = frames[0].sparkSession
-    total = spark.read.format("binaryFile").load(files).agg(F.sum("length")).first()[0]
-    return int(total or 0)
-
-
-def sized_count(*frames: DataFrame, target_bytes: int = 256 << 20, maximum: int = 100_000) -> int:
-    """A partition or bucket count for writing ``frames``' data: one per
-    ``target_bytes`` of input, at least the cluster's default parallelism,
-    at most ``maximum``."""
-    import math
-
-    spark = frames[0].sparkSession
-    n = math.ceil(input_bytes(*frames) / target_bytes)
-    return max(1, min(maximum, max(spark.sparkContext.defaultParallelism, n)))
+def sized_count(*frames: DataFrame, target_bytes: int = 256 << 20) -> int:
+    """A bucket count for writing ``frames``' data: one per ``target_bytes``
+    of input, at least the cluster's default parallelism."""
+    n = -(-input_bytes(*frames) // target_bytes)
+    return max(frames[0].sparkSession.sparkContext.defaultParallelism, n)

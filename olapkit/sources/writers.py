@@ -53,42 +53,43 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
     w.parquet(path)
 
 
-def write_layout(df: DataFrame, table: str, layout: str = "plain", *, bucket_by: Sequence[str] = (),
-                 sort_by: Sequence[str] = (), buckets: int = 64, path: str | None = None,
-                 mode: str = "overwrite") -> None:
+def write_layout(df: DataFrame, table: str, layout: str = "plain", *, partition_by: Sequence[str] = (),
+                 bucket_by: Sequence[str] = (), sort_by: Sequence[str] = (), buckets: int = 64,
+                 path: str | None = None, mode: str = "overwrite") -> None:
     """Write a table in one of the warehouse layouts.
 
     * ``plain``: no distribution or sort key.
-    * ``dist``: distribution key -> ``bucketBy`` (co-located joins without an
+    * ``dist``: ``partition_by`` -> a directory per value, which filters
+      prune; distribution key -> ``bucketBy`` (co-located joins without an
       exchange when both sides share the bucketing); sort key -> ``sortBy``
       inside buckets so parquet min/max statistics skip row groups. Rows are
       hash-partitioned into exactly ``buckets`` tasks first, so each bucket
-      is one file. Pick a distribution key without hot values: a bucket
-      cannot be split at read time.
+      is one file (per directory). A bucket cannot be split at read time:
+      salt hot values of the distribution key before.
       Replicated small tables need no layout: the planner broadcasts them
       after checking their size.
     Tables are saved through the catalog (bucketing needs it); ``path`` puts
     the data in a chosen (shared) folder.
     """
-    if layout == "dist" and bucket_by:
-        # same hash as the bucketing: each task holds one bucket and writes one
-        # file, instead of every task writing a file for every bucket
-        df = df.repartition(buckets, *bucket_by)
+    if layout not in ("plain", "dist"):
+        raise ValueError(f"unknown layout {layout!r}")
+    if layout == "dist":
+        if bucket_by:
+            # same hash as the bucketing: each task holds one bucket and writes one
+            # file, instead of every task writing a file for every bucket
+            df = df.repartition(buckets, *bucket_by)
+        elif sort_by:
+            df = df.repartitionByRange(*sort_by).sortWithinPartitions(*sort_by)
     w = df.write.mode(mode).format("parquet")
     if path is not None:
         w = w.option("path", path)
     if layout == "dist":
+        if partition_by:
+            w = w.partitionBy(*partition_by)
         if bucket_by:
             w = w.bucketBy(buckets, *bucket_by)
             if sort_by:
                 w = w.sortBy(*sort_by)
-        elif sort_by:
-            df = df.repartitionByRange(*sort_by).sortWithinPartitions(*sort_by)
-            w = df.write.mode(mode).format("parquet")
-            if path is not None:
-                w = w.option("path", path)
-    elif layout != "plain":
-        raise ValueError(f"unknown layout {layout!r}")
     w.saveAsTable(table)
 
 
