@@ -1,19 +1,16 @@
 """Event-log operators: running sums per user (phases, marker periods),
 per-user totals, plays per hour (O-W1..O-W5, O-E*).
 
-Running sums are the reference's window ``sum(flag) OVER (PARTITION BY user
-ORDER BY ts DESC ... UNBOUNDED PRECEDING .. CURRENT ROW)``. A plain window
-puts all of one user's events in one task; with one user holding a large
-share of the log that task holds that share. ``running_sum`` therefore
-splits each user's timeline into chunks (``chunk``: a time bucket of ``ts``)
-and computes
-
-    result = window sum inside (user, chunk)  +  sum of the user's later chunks
-
-The second term comes from per-(user, chunk) totals (a partially aggregated
-groupBy) and a window over those totals only, which has one row per chunk.
-All rows with the same ``ts`` fall in the same chunk, so the RANGE frame
-(ties share a value) is preserved; the ROWS frame uses a tie-break column.
+A running sum is the window ``sum(flag)`` per user from the last event back
+to the current one. A plain window puts all of one user's events in one
+task. ``running_sum`` counts events per user first; a user with more than a
+shuffle partition's fair share is *hot*, and its timeline is cut at quantiles
+of its times into stretches of about half such a share. Its result is the
+window sum inside the stretch plus the sum of the user's later stretches.
+There are fewer hot users than shuffle partitions and fewer than four
+stretches per partition, so that table is small whatever the size of the log.
+Rows of equal time fall in one stretch, so the RANGE frame (ties share a
+value) is preserved; the ROWS frame uses a tie-break column.
 """
 
 from __future__ import annotations
@@ -22,51 +19,75 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Mapping of the music-service pages onto the driver's event types.
 PLAY, HOME, DOWNGRADE = "view", "click", "purchase"
 
 
-def _c(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
 def flag(cond: Column) -> Column:
     """0/1 integer flag of a predicate (the reference's typed UDF, native)."""
     return F.when(cond, F.lit(1)).otherwise(F.lit(0))
 
 
+#: Below this number of events a user is never hot.
+FEWEST_HOT = 100_000
+
+
+def _hot_bounds(df: DataFrame, by: list[str], ts: str, fewest: int) -> DataFrame | None:
+    """(by..., _bounds): the hot users and the microseconds at which their timelines are cut; None without any."""
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+    share = F.greatest(F.lit(fewest), F.sum("_n").over(Window.partitionBy()) / parts)
+    hot = counts.withColumn("_share", share).where(F.col("_n") > F.col("_share")).collect()
+    if not hot:
+        return None
+    keys = spark.createDataFrame([tuple(r[c] for c in by) for r in hot], df.select(*by).schema)
+    pieces = max(int(2 * r["_n"] / r["_share"]) + 1 for r in hot)
+    times = F.unix_micros(F.col(ts).cast("timestamp"))
+    same = [F.col(f"_e.{c}").eqNullSafe(F.col(f"_h.{c}")) for c in by]
+    own = df.select(*by, times.alias("_t")).alias("_e").join(F.broadcast(keys.alias("_h")), same).select(
+        *[F.col(f"_e.{c}").alias(c) for c in by], "_t")
+    bounds = own.groupBy(*by).agg(F.percentile_approx(
+        "_t", [k / pieces for k in range(1, pieces)], 10_000).alias("_bounds")).collect()
+    return spark.createDataFrame([tuple(r) for r in bounds], df.select(*by).schema.add("_bounds", T.ArrayType(T.LongType())))
+
+
 def running_sum(df: DataFrame, value: str, by: Sequence[str], ts: str, out: str, *,
                 descending: bool = True, frame: str = "range", tie_break: Sequence[str] = (),
-                chunk: Column | None = None) -> DataFrame:
+                fewest_hot: int = FEWEST_HOT) -> DataFrame:
     """Cumulative ``sum(value)`` per ``by`` in ``ts`` order, from the first
     row in that order up to the current row (see module doc)."""
     by = list(by)
-    if chunk is None:
-        chunk = F.date_trunc("hour", F.col(ts))
-    order = [F.col(ts).desc() if descending else F.col(ts).asc()]
+    direct = lambda c: F.col(c).desc() if descending else F.col(c).asc()
+    order = [direct(ts)]
     if frame == "rows":
-        order += [F.col(c).desc() if descending else F.col(c).asc() for c in tie_break]
+        order += [direct(c) for c in tie_break]
     elif frame != "range":
         raise ValueError(frame)
-    # One struct key (by..., chunk) drives both the window partitioning and the
-    # join, so the join reuses the window's shuffle; struct equality also
-    # matches NULL users/times, which a plain window keeps as a group.
-    df = df.withColumn("_chunk", chunk).withColumn("_key", F.struct(*[F.col(c) for c in by], F.col("_chunk")))
-    w = Window.partitionBy("_key").orderBy(*order)
-    w = (w.rangeBetween(Window.unboundedPreceding, Window.currentRow) if frame == "range"
-         else w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = df.withColumn("_local", F.sum(value).over(w))
-
-    totals = df.groupBy(*by, "_chunk").agg(F.sum(value).alias("_tot"))
-    corder = F.col("_chunk").desc() if descending else F.col("_chunk").asc()
-    cw = Window.partitionBy(*by).orderBy(corder).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(F.struct(*[F.col(c) for c in by], F.col("_chunk")).alias("_key"),
-                            F.coalesce(F.sum("_tot").over(cw), F.lit(0)).alias("_off"))
-
-    return (local.join(offsets, "_key")
-            .withColumn(out, (F.col("_local") + F.col("_off")).cast("bigint"))
-            .drop("_key", "_chunk", "_local", "_off"))
+
+    def over(keys):
+        w = Window.partitionBy(*keys).orderBy(*order)
+        return (w.rangeBetween if frame == "range" else w.rowsBetween)(Window.unboundedPreceding, Window.currentRow)
+
+    bounds = _hot_bounds(df, by, ts, fewest_hot)
+    if bounds is None:
+        return df.withColumn(out, F.sum(value).over(over(by)).cast("bigint"))
+    # fewer than 4 * shuffle partitions bounds in all: a proven size for the broadcasts
+    times = F.unix_micros(F.col(ts).cast("timestamp"))
+    same = [F.col(f"_e.{c}").eqNullSafe(F.col(f"_b.{c}")) for c in by]
+    cut = df.alias("_e").join(F.broadcast(bounds.alias("_b")), same, "left").select("_e.*", F.size(F.filter(
+        F.coalesce("_bounds", F.array().cast("array<bigint>")), lambda b: b < times)).alias("_stretch"))
+    local = cut.withColumn("_local", F.sum(value).over(over([*by, "_stretch"])))
+    totals = cut.groupBy(*by, "_stretch").agg(F.sum(value).alias("_tot"))
+    hot = totals.alias("_e").join(F.broadcast(bounds.alias("_b")), same, "left_semi")
+    earlier = Window.partitionBy(*by).orderBy(direct("_stretch")).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = hot.select(*by, "_stretch", F.sum("_tot").over(earlier).alias("_off"))
+    match = [F.col(f"_l.{c}").eqNullSafe(F.col(f"_o.{c}")) for c in [*by, "_stretch"]]
+    return (local.alias("_l").join(F.broadcast(offsets.alias("_o")), match, "left")
+            .select("_l.*", (F.col("_l._local") + F.coalesce("_o._off", F.lit(0))).cast("bigint").alias(out))
+            .drop("_stretch", "_local"))
 
 
 def flag_phase(df: DataFrame, user: str, ts: str, cond: Column, out: str = "phase",
