@@ -20,44 +20,45 @@ class ForeignKey:
     pk: str
 
 
+def _common_type(a: T.DataType, b: T.DataType) -> str | None:
+    """The type in which the two keys of one relation are compared: none to cast for equal types; numbers meet as a
+    decimal that holds both, a number and a text as text."""
+    if a == b:
+        return None
+    digits = lambda t: (38, 0) if isinstance(t, T.IntegralType) else (t.precision, t.scale)
+    exact = (T.IntegralType, T.DecimalType)
+    if isinstance(a, T.IntegralType) and isinstance(b, T.IntegralType):
+        return "bigint"
+    if isinstance(a, exact) and isinstance(b, exact):
+        scale = max(digits(a)[1], digits(b)[1])
+        return f"decimal(38,{scale})"
+    if isinstance(a, T.NumericType) and isinstance(b, T.NumericType):
+        return "double"
+    return "string"
+
+
 def fk_orphans(relations: Sequence[ForeignKey]) -> DataFrame:
     """Child rows whose (non-NULL) reference has no parent, counted per
     relation (O-DQ2).
 
-    Each child table is scanned once, however many foreign keys it has: its
-    key columns become tagged (relation, key) rows, which are counted per
-    key first (partial aggregation on the map side, so a hot key ships one
-    row per input partition). One outer join against the distinct tagged
-    parent keys then finds the orphans of every relation, and relations
-    without orphans are reported with 0. Pass the same DataFrame object as ``child`` for
-    relations of one table to share its scan.
+    Per relation the child keys are counted first (partial aggregation before
+    the shuffle, so a hot key ships one row per input partition), then joined
+    with the parent's distinct keys; the planner broadcasts a parent whose
+    size it has checked, and a large one shuffles on its key. Keys of
+    different types are compared in the common type of their own relation.
+    Every relation is reported, also with 0 orphans.
     """
-    spark = relations[0].child.sparkSession
-    integral = all(isinstance(r.child.schema[r.fk].dataType, T.IntegralType)
-                   and isinstance(r.parent.schema[r.pk].dataType, T.IntegralType) for r in relations)
-    key_type = "bigint" if integral else "string"
-
-    by_child: dict[int, tuple[DataFrame, list[ForeignKey]]] = {}
+    parts = []
     for r in relations:
-        by_child.setdefault(id(r.child), (r.child, []))[1].append(r)
-    tagged = []
-    for child, rels in by_child.values():
-        keys = F.array(*[F.struct(F.lit(r.name).alias("relation"), F.col(r.fk).cast(key_type).alias("_k"))
-                         for r in rels])
-        tagged.append(child.select(F.explode(keys).alias("_r")).select("_r.relation", "_r._k"))
-    child_keys = _union(tagged).filter(F.col("_k").isNotNull()) \
-        .groupBy("relation", "_k").agg(F.count(F.lit(1)).alias("_n"))
-    # distinct parent keys (partial aggregation too), then a left outer join +
-    # NULL test: an anti join here would be pushed below the aggregate and
-    # the union, joining every child branch with all parent keys
-    parent_keys = (_union([r.parent.select(F.lit(r.name).alias("relation"),
-                                           F.col(r.pk).cast(key_type).alias("_k")) for r in relations])
-                   .distinct().withColumn("_hit", F.lit(True)))
-    orphans = (child_keys.join(parent_keys, ["relation", "_k"], "left").filter(F.col("_hit").isNull())
-               .groupBy("relation").agg(F.sum("_n").alias("_o")))
-    names = spark.createDataFrame([(r.name,) for r in relations], "relation string")
-    return (names.join(orphans, "relation", "left")
-            .select("relation", F.coalesce(F.col("_o"), F.lit(0)).cast("bigint").alias("orphans")))
+        common = _common_type(r.child.schema[r.fk].dataType, r.parent.schema[r.pk].dataType)
+        key = lambda name: F.col(name).cast(common) if common else F.col(name)  # noqa: E731,B023
+        counts = r.child.select(key(r.fk).alias("_k")).where(F.col("_k").isNotNull()).groupBy("_k").agg(
+            F.count(F.lit(1)).alias("_n"))
+        keys = r.parent.select(key(r.pk).alias("_k")).distinct().withColumn("_hit", F.lit(True))
+        missing = counts.join(keys, "_k", "left").where(F.col("_hit").isNull())
+        parts.append(missing.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("orphans"))
+                     .select(F.lit(r.name).alias("relation"), "orphans"))
+    return _union(parts)
 
 
 def _union(frames: Sequence[DataFrame]) -> DataFrame:
@@ -100,9 +101,18 @@ def load_counts(first: DataFrame, second: DataFrame) -> DataFrame:
             .withColumn("difference", F.col("first_count") - F.col("second_count")))
 
 
+def multiset_diff(first: DataFrame, second: DataFrame) -> DataFrame:
+    """Distinct rows that the two frames hold in different numbers, with
+    ``_surplus``: how many more ``first`` has. One pass over each side: rows
+    count +1 and -1, and one aggregation over all columns sums them."""
+    both = first.withColumn("_surplus", F.lit(1)).unionByName(second.withColumn("_surplus", F.lit(-1)))
+    return both.groupBy(*first.columns).agg(F.sum("_surplus").alias("_surplus")).where("_surplus <> 0")
+
+
 def load_diff(first: DataFrame, second: DataFrame) -> DataFrame:
     """Rows present in one load and not the other (multiset difference both
     ways), labelled with the load they are missing from."""
-    a = first.exceptAll(second).withColumn("missing_from", F.lit("second"))
-    b = second.exceptAll(first).withColumn("missing_from", F.lit("first"))
-    return a.unionByName(b)
+    copies = F.explode(F.sequence(F.lit(1).cast("bigint"), F.abs("_surplus")))
+    return (multiset_diff(first, second).withColumn("_copy", copies)
+            .withColumn("missing_from", F.when(F.col("_surplus") > 0, "second").otherwise("first"))
+            .drop("_surplus", "_copy"))

@@ -2,44 +2,39 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..operators.quality import ForeignKey, fk_orphans, load_counts, load_diff, not_null_report, pk_duplicates
 from ..sources.readers import Tables
 from .registry import query
 
-# relation name, child table (filter), fk, parent table (filter), pk
+# relation name, child table, fk, parent table, pk. Orphans are made on the
+# whole tables: every 97th key of the marked relations is moved out of range.
 _RELATIONS = [
-    ("orders.o_custkey->customer", "orders", "", "o_custkey", "customer", "c_nationkey <> 0", "c_custkey"),
-    ("lineitem.l_orderkey->orders", "lineitem", "", "l_orderkey", "orders", "", "o_orderkey"),
-    ("lineitem.l_partkey->part", "lineitem", "", "l_partkey", "part", "p_size > 5", "p_partkey"),
-    ("lineitem.l_suppkey->supplier", "lineitem", "", "l_suppkey", "supplier", "", "s_suppkey"),
-    ("customer.c_nationkey->nation", "customer", "c_nationkey <> 0", "c_nationkey", "nation", "", "n_nationkey"),
-    ("supplier.s_nationkey->nation", "supplier", "", "s_nationkey", "nation", "", "n_nationkey"),
-    ("nation.n_regionkey->region", "nation", "", "n_regionkey", "region", "", "r_regionkey"),
+    ("orders.o_custkey->customer", "orders", "o_custkey", "customer", "c_custkey", True),
+    ("lineitem.l_orderkey->orders", "lineitem", "l_orderkey", "orders", "o_orderkey", False),
+    ("lineitem.l_partkey->part", "lineitem", "l_partkey", "part", "p_partkey", True),
+    ("lineitem.l_suppkey->supplier", "lineitem", "l_suppkey", "supplier", "s_suppkey", False),
+    ("customer.c_nationkey->nation", "customer", "c_nationkey", "nation", "n_nationkey", False),
+    ("supplier.s_nationkey->nation", "supplier", "s_nationkey", "nation", "n_nationkey", False),
+    ("nation.n_regionkey->region", "nation", "n_regionkey", "region", "r_regionkey", False),
 ]
 
-
-def _src(table: str, cond: str) -> str:
-    return f"(SELECT * FROM {table} WHERE {cond})" if cond else table
-
-
 _FK_SQL = " UNION ALL ".join(
-    f"SELECT '{name}' AS relation, count(*) AS orphans FROM {_src(ct, cc)} ch "
-    f"WHERE ch.{fk} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {_src(pt, pc)} pa WHERE pa.{pk} = ch.{fk})"
-    for name, ct, cc, fk, pt, pc, pk in _RELATIONS)
+    f"SELECT '{name}' AS relation, count(*) FILTER (WHERE k NOT IN (SELECT {pk} FROM {parent})) AS orphans "
+    f"FROM (SELECT {f'if({fk} % 97 = 0, -{fk} - 1, {fk})' if moved else fk} AS k FROM {child})"
+    for name, child, fk, parent, pk, moved in _RELATIONS)
 
 
 @query("fk_orphans", _FK_SQL)
 def fk_orphans_q(t: Tables):
     """REFERENCES check: orphan rows per relation (O-DQ2)."""
-    frames = {}
-
-    def frame(table, cond):
-        # one DataFrame object per (table, filter): relations of one child table share its scan
-        if (table, cond) not in frames:
-            df = t.get(table)
-            frames[(table, cond)] = df.filter(cond) if cond else df
-        return frames[(table, cond)]
-    rels = [ForeignKey(name, frame(ct, cc), fk, frame(pt, pc), pk) for name, ct, cc, fk, pt, pc, pk in _RELATIONS]
+    rels = []
+    for name, child, fk, parent, pk, moved in _RELATIONS:
+        df, key = t.get(child), F.col(fk)
+        if moved:
+            df = df.withColumn(fk, F.when(key % 97 == 0, -key - 1).otherwise(key))
+        rels.append(ForeignKey(name, df, fk, t.get(parent), pk))
     return fk_orphans(rels)
 
 
@@ -63,27 +58,29 @@ def not_null_report_q(t: Tables):
     return not_null_report(t.orders)
 
 
-_SECOND_SQL = "(SELECT * FROM orders WHERE o_orderkey < (SELECT max(o_orderkey) FROM orders))"
+# A second load of ``orders`` in which every 89th order came twice, and every
+# 97th with another price.
+_SECOND_SQL = """(SELECT * REPLACE (if(o_orderkey % 97 = 0, o_totalprice + 1, o_totalprice) AS o_totalprice) FROM orders
+  UNION ALL SELECT * FROM orders WHERE o_orderkey % 89 = 0)"""
 
 
 def _second_load(t: Tables):
-    """A second load of ``orders`` that lost the last row."""
-    return t.spark.sql("SELECT * FROM {o} WHERE o_orderkey < (SELECT max(o_orderkey) FROM {o})", o=t.orders)
+    price = F.col("o_totalprice")
+    changed = t.orders.withColumn("o_totalprice", F.when(F.col("o_orderkey") % 97 == 0, price + 1).otherwise(price))
+    return changed.unionByName(t.orders.where("o_orderkey % 89 = 0"))
 
 
 @query("load_counts", f"""
-SELECT first_count, second_count, first_count - second_count AS difference FROM
-(SELECT (SELECT count(*) FROM orders) AS first_count, (SELECT count(*) FROM {_SECOND_SQL} s) AS second_count) c""")
+SELECT *, first_count - second_count AS difference
+FROM (SELECT count(*) AS first_count FROM orders), (SELECT count(*) AS second_count FROM {_SECOND_SQL})""")
 def load_counts_q(t: Tables):
     """Row counts of two loads (O-DQ5)."""
     return load_counts(t.orders, _second_load(t))
 
 
 @query("load_diff", f"""
-SELECT *, 'second' AS missing_from FROM (SELECT * FROM orders EXCEPT ALL SELECT * FROM {_SECOND_SQL} s) a
-UNION ALL
-SELECT *, 'first' AS missing_from FROM (SELECT * FROM {_SECOND_SQL} s EXCEPT ALL SELECT * FROM orders) b""")
+(SELECT *, 'second' AS missing_from FROM orders EXCEPT ALL SELECT *, 'second' FROM {_SECOND_SQL})
+UNION ALL (SELECT *, 'first' FROM {_SECOND_SQL} EXCEPT ALL SELECT *, 'first' FROM orders)""")
 def load_diff_q(t: Tables):
     """The rows one load misses (O-DQ5)."""
     return load_diff(t.orders, _second_load(t))
-
