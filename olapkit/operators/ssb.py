@@ -2,17 +2,16 @@
 layouts, and the four SSB queries (O-Q1..O-Q5, O-K5..O-K7).
 
 ``lineorder`` is a line item joined with its order; ``dwdate`` is the date
-dimension of the order dates. Queries are the SSB statements written as
-comma joins with ``WHERE`` equalities; Catalyst turns them into equi-joins.
-Tables are bound as DataFrame parameters of ``spark.sql`` (no global view
-names), so the same text runs on the lazy frames or on written layouts.
+dimension of the order dates. The first query is a comma join with ``WHERE``
+equalities over DataFrame parameters of ``spark.sql``; the others join
+filtered dimensions. All run on the lazy frames or on written layouts.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import date_key
@@ -44,6 +43,7 @@ def ssb_tables(t: Tables) -> SsbTables:
         F.col("l_partkey").alias("lo_partkey"),
         F.col("l_suppkey").alias("lo_suppkey"),
         date_key("o_orderdate").alias("lo_orderdate"),
+        F.year("o_orderdate").alias("lo_year"),
         F.col("o_orderpriority").alias("lo_orderpriority"),
         F.col("l_quantity").alias("lo_quantity"),
         amount().alias("lo_extendedprice"),
@@ -67,69 +67,114 @@ def ssb_tables(t: Tables) -> SsbTables:
     return SsbTables(lineorder, dwdate, part, supplier, customer)
 
 
-# Layout "dist": fact distributed on the part key and sorted on the order
-# date; part distributed on its key (co-located join); the other dimensions
-# are replicated, which in Spark is the size-checked broadcast of a small side.
+# Layout "dist": the fact is partitioned by order year (a filter on the date
+# dimension prunes it at run time), and inside a year distributed on the part
+# key and sorted on the order date; part is distributed on the same key
+# (co-located join). A hot part key is spread over ``salts`` buckets, and its
+# part row is repeated that often (see ``spread_hot_parts``). The other
+# dimensions are replicated, which in Spark is the size-checked broadcast of a
+# small side.
 DIST_LAYOUT = {
-    "lineorder": {"bucket_by": ["lo_partkey"], "sort_by": ["lo_orderdate"]},
-    "part": {"bucket_by": ["p_partkey"], "sort_by": ["p_partkey"]},
+    "lineorder": {"partition_by": ["lo_year"], "bucket_by": ["lo_partkey", "lo_salt"], "sort_by": ["lo_orderdate"]},
+    "part": {"bucket_by": ["p_partkey", "p_salt"], "sort_by": ["p_partkey"]},
     "supplier": {"sort_by": ["s_suppkey"]},
     "customer": {"sort_by": ["c_custkey"]},
     "dwdate": {"sort_by": ["d_datekey"]},
 }
 
 
+def spread_hot_parts(tables: SsbTables, buckets: int, salts: int = 16) -> SsbTables:
+    """Give lines of hot parts (more than half a bucket's mean share of all
+    lines) one of ``salts`` salts and repeat those part rows once per salt;
+    all others have salt 0. There are fewer than ``2 * buckets`` hot parts."""
+    counts = tables.lineorder.groupBy("lo_partkey").agg(F.count(F.lit(1)).alias("n"))
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    hot = [r[0] for r in counts.where(F.col("n") * 2 * buckets > total).select("lo_partkey").collect()]
+    is_hot = lambda c: F.coalesce(F.col(c).isin(hot), F.lit(False)) if hot else F.lit(False)
+    salt = F.when(is_hot("lo_partkey"), F.pmod(F.hash("lo_orderkey", "lo_linenumber"), F.lit(salts))).otherwise(0)
+    all_salts = F.when(is_hot("p_partkey"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    return replace(tables, lineorder=tables.lineorder.withColumn("lo_salt", salt.cast("int")),
+                   part=tables.part.withColumn("p_salt", F.explode(all_salts)))
+
+
 def materialize(spark: SparkSession, tables: SsbTables, database: str, layout: str,
                 buckets: int = 8, location: str | None = None) -> SsbTables:
-    """Write the SSB tables into ``database`` in the ``plain`` or ``dist`` layout
-    (the two ``search_path`` schemas of the reference) and return them."""
+    """Write the SSB tables into ``database`` in the ``plain`` or ``dist``
+    layout (two namespaces of the same tables) and return them."""
+    if layout == "dist":
+        tables = spread_hot_parts(tables, buckets)
     load_tables(tables.as_dict(), database, layout, DIST_LAYOUT, buckets=buckets, location=location)
     return SsbTables(**{n: spark.table(f"{database}.{n}") for n in SsbTables.NAMES})
 
 
 # ---- queries ------------------------------------------------------------------
+# Revenue of discounted small sales in one year, as a comma join (O-J4).
 ONE_DIM = """
-SELECT CAST(sum(lo_extendedprice * lo_discount) AS DECIMAL(18,4)) AS revenue
+SELECT sum(lo_extendedprice * lo_discount)::DECIMAL(38,4) AS revenue
 FROM {lineorder}, {dwdate}
-WHERE lo_orderdate = d_datekey
-  AND d_year = 1997
-  AND lo_discount BETWEEN 0.01 AND 0.03
-  AND lo_quantity < 24"""
-
-TWO_DIM = """
-SELECT CAST(sum(lo_revenue) AS DECIMAL(18,2)) AS revenue, d_year AS year, p_brand1 AS brand
-FROM {lineorder}, {dwdate}, {part}, {supplier}
-WHERE lo_orderdate = d_datekey
-  AND lo_partkey = p_partkey
-  AND lo_suppkey = s_suppkey
-  AND p_category = 'PROMO'
-  AND s_region = 'AMERICA'
-GROUP BY d_year, p_brand1"""
-
-DRILL = """
-SELECT c_city, s_city, d_year AS year, CAST(sum(lo_revenue) AS DECIMAL(18,2)) AS revenue
-FROM {customer}, {lineorder}, {supplier}, {dwdate}
-WHERE lo_custkey = c_custkey
-  AND lo_suppkey = s_suppkey
-  AND lo_orderdate = d_datekey
-  AND (c_city = 'NATION_1' OR c_city = 'NATION_5')
-  AND (s_city = 'NATION_1' OR s_city = 'NATION_5')
-  AND d_yearmonthnum = 199712
-GROUP BY c_city, s_city, d_year
-ORDER BY d_year ASC, revenue DESC"""
-
-SAME_DIST = """
-SELECT lo_orderdate, CAST(sum(lo_extendedprice * lo_discount) AS DECIMAL(18,4)) AS revenue
-FROM {lineorder}, {part}
-WHERE lo_partkey = p_partkey
-GROUP BY lo_orderdate
-ORDER BY lo_orderdate"""
-
-SSB_QUERIES = {"one_dim": ONE_DIM, "two_dim": TWO_DIM, "drill": DRILL, "same_dist": SAME_DIST}
+WHERE d_datekey = lo_orderdate AND d_year = lo_year AND d_year = 1997
+  AND lo_quantity < 24 AND lo_discount BETWEEN 0.01 AND 0.03"""
+
+
+def _dates(tabs: SsbTables, *conditions: Column) -> DataFrame:
+    """Dates named as the fact's keys; the year is the fact's partition column, so conditions prune it."""
+    d = tabs.dwdate
+    for c in conditions:
+        d = d.where(c)
+    return d.select(F.col("d_datekey").alias("lo_orderdate"), F.col("d_year").alias("lo_year"))
+
+
+def _parts(tabs: SsbTables) -> tuple[DataFrame, list[str]]:
+    """Parts named as the fact's keys; in the ``dist`` layout the salt is part of the key."""
+    keys = {"p_partkey": "lo_partkey"} | ({"p_salt": "lo_salt"} if "p_salt" in tabs.part.columns else {})
+    rest = [F.col(c) for c in tabs.part.columns if c not in keys]
+    return tabs.part.select(*[F.col(a).alias(b) for a, b in keys.items()], *rest), list(keys.values())
+
+
+def one_dim(spark: SparkSession, tabs: SsbTables) -> DataFrame:
+    return spark.sql(ONE_DIM, lineorder=tabs.lineorder, dwdate=tabs.dwdate)
+
+
+def two_dim(spark: SparkSession, tabs: SsbTables) -> DataFrame:
+    """Revenue per year and brand of one category, sold by suppliers of one region."""
+    parts, on = _parts(tabs)
+    promo = parts.where("p_category = 'PROMO'").select(*on, F.col("p_brand1").alias("brand"))
+    sellers = tabs.supplier.where("s_region = 'AMERICA'").select(F.col("s_suppkey").alias("lo_suppkey"))
+    sold = tabs.lineorder.join(promo, on).join(sellers, "lo_suppkey").join(_dates(tabs), ["lo_orderdate", "lo_year"])
+    return sold.groupBy(F.col("lo_year").alias("year"), "brand").agg(_money(F.sum("lo_revenue")))
+
+
+DRILL_CITIES, DRILL_MONTH = ("NATION_1", "NATION_5"), 199712
+
+
+def drill(spark: SparkSession, tabs: SsbTables) -> DataFrame:
+    """Revenue of one month between two cities, by buyer's and seller's city and year."""
+    buyers = tabs.customer.where(F.col("c_city").isin(*DRILL_CITIES)).select(
+        F.col("c_custkey").alias("lo_custkey"), "c_city")
+    sellers = tabs.supplier.where(F.col("s_city").isin(*DRILL_CITIES)).select(
+        F.col("s_suppkey").alias("lo_suppkey"), "s_city")
+    month = _dates(tabs, F.col("d_yearmonthnum") == DRILL_MONTH)
+    sold = tabs.lineorder.join(month, ["lo_orderdate", "lo_year"]).join(buyers, "lo_custkey").join(sellers, "lo_suppkey")
+    return (sold.groupBy("c_city", "s_city", F.col("lo_year").alias("year")).agg(_money(F.sum("lo_revenue")))
+            .orderBy("year", F.desc("revenue"), "c_city", "s_city"))
+
+
+def same_dist(spark: SparkSession, tabs: SsbTables) -> DataFrame:
+    """Discounts per day, joined on the distribution key."""
+    parts, on = _parts(tabs)
+    return (tabs.lineorder.join(parts.select(*on), on).groupBy("lo_orderdate")
+            .agg(_money(F.sum(F.col("lo_extendedprice") * F.col("lo_discount")), 4)).orderBy("lo_orderdate"))
+
+
+def _money(total: Column, scale: int = 2) -> Column:
+    return total.cast(f"decimal(38,{scale})").alias("revenue")
+
+
+SSB_QUERIES = {"one_dim": one_dim, "two_dim": two_dim, "drill": drill, "same_dist": same_dist}
 
 
 def run_ssb(spark: SparkSession, tables: SsbTables, name: str) -> DataFrame:
-    return spark.sql(SSB_QUERIES[name], **tables.as_dict())
+    return SSB_QUERIES[name](spark, tables)
 
 
 def compare_layouts(spark: SparkSession, layouts: dict[str, SsbTables], runs: int = 3,
