@@ -27,21 +27,24 @@ ACCESS_LOG_TIME_FORMAT = "dd/MMM/yyyy:HH:mm:ss Z"
 ACCESS_LOG_PATTERN_LENIENT = ACCESS_LOG_PATTERN[: -len(r"(\d+)")] + r"(\d+|-)"
 
 
-_SEP = "\u0001"   # field separator that cannot occur in a log line
+def _pattern(lenient: bool) -> str:
+    return ACCESS_LOG_PATTERN_LENIENT if lenient else ACCESS_LOG_PATTERN
 
 
-def access_log_parts(value: Column, lenient: bool = False) -> Column:
-    """The ten capture groups of a line as one array (NULL when the line does
-    not match): one ``rlike`` and one ``regexp_replace`` per line.
+def split_access_log(value: Column, lenient: bool = False) -> Column:
+    """The ten capture groups of a matching line as one array, by one regex
+    match: the line is rewritten into its groups with a blank between them
+    and cut there. No group of the pattern can hold a blank, and ``(?s)``
+    takes the whole rest of the line away, also behind a line break."""
+    groups = " ".join(f"${i}" for i in range(1, 11))
+    return F.split(F.regexp_replace(value, "(?s)" + _pattern(lenient) + ".*", groups), " ")
+
 
-    ``regexp_replace`` rewrites a matching line into its groups joined by a
-    separator (one regex match per line instead of one per field) and
-    ``split`` cuts it. Keep the array in its own column when several fields
-    are read from it, so the regex is not re-evaluated per field.
-    """
-    pat = ACCESS_LOG_PATTERN_LENIENT if lenient else ACCESS_LOG_PATTERN
-    repl = _SEP.join(f"${i}" for i in range(1, 11))
-    return F.when(value.rlike(pat), F.split(F.regexp_replace(value, pat + ".*", repl), _SEP))
+def access_log_parts(value: Column, lenient: bool = False) -> Column:
+    """The ten capture groups of a line, NULL when it does not match: one
+    ``rlike`` and one ``regexp_replace``. Keep the array in its own column
+    when several fields are read from it."""
+    return F.when(value.rlike(_pattern(lenient)), split_access_log(value, lenient))
 
 
 def fields_from_parts(parts: Column, lenient: bool = False) -> dict[str, Column]:
@@ -69,7 +72,7 @@ def access_log_fields(value: Column, lenient: bool = False) -> list[Column]:
 
 
 def matches_access_log(value: Column, lenient: bool = False) -> Column:
-    return value.rlike(ACCESS_LOG_PATTERN_LENIENT if lenient else ACCESS_LOG_PATTERN)
+    return value.rlike(_pattern(lenient))
 
 
 def map_from_parts(parts: Column, lenient: bool = False) -> Column:
@@ -94,5 +97,5 @@ def date_time_parts(date_time: Column) -> list[Column]:
 
 
 def log_timestamp(date_time: Column) -> Column:
-    """Typed instant of the date_time field, as UTC wall-clock (NTZ)."""
-    return F.to_timestamp(date_time, ACCESS_LOG_TIME_FORMAT).cast("timestamp_ntz")
+    """Typed instant of the date_time field, as UTC wall-clock (NTZ); NULL marks a time that is no date."""
+    return F.try_to_timestamp(date_time, F.lit(ACCESS_LOG_TIME_FORMAT)).cast("timestamp_ntz")

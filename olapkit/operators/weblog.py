@@ -1,6 +1,6 @@
 """Schema-on-read access-log job (O-LG1..O-LG4, O-F8..O-F10, O-F12).
 
-Lines are parsed with native ``regexp_extract`` expressions, so parsing runs
+Lines are parsed with native regex expressions, so parsing runs
 inside whole-stage codegen with no Python worker; a line that does not match
 goes to the ``rejected`` output instead of being dropped.
 """
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.logs import (access_log_parts, date_time_parts, fields_from_parts, log_timestamp, map_from_parts,
-                              matches_access_log)
+                              matches_access_log, split_access_log)
 
 
 def access_log_lines(events: DataFrame) -> DataFrame:
@@ -42,15 +42,14 @@ class ParsedLog:
 def parse_access_log(lines: DataFrame, lenient: bool = False, value: str = "value") -> ParsedLog:
     """Split lines into parsed rows (nine string fields) and rejected lines.
 
-    The group array is computed once per line in its own projection and the
-    fields are read from it.
+    The pattern is matched once to choose the lines and once to cut them;
+    the fields are read from the array of groups.
     """
     v = F.col(value)
-    ok = matches_access_log(v, lenient)
-    parts = lines.filter(ok).select(access_log_parts(v, lenient).alias("_parts"))
+    ok = F.coalesce(matches_access_log(v, lenient), F.lit(False))
+    parts = lines.filter(ok).select(split_access_log(v, lenient).alias("_parts"))
     parsed = parts.select(*[c.alias(n) for n, c in fields_from_parts(F.col("_parts"), lenient).items()])
-    rejected = lines.filter(~ok | v.isNull())
-    return ParsedLog(parsed, rejected)
+    return ParsedLog(parsed, lines.filter(~ok))
 
 
 def parsed_map(lines: DataFrame, value: str = "value") -> DataFrame:
@@ -70,6 +69,11 @@ def with_typed_time(parsed: DataFrame) -> DataFrame:
     return parsed.select("*", *date_time_parts(dt), log_timestamp(dt).alias("event_time"))
 
 
+def bad_times(parsed: DataFrame) -> DataFrame:
+    """Parsed rows whose time text is no date (their typed time is NULL)."""
+    return parsed.where(log_timestamp(F.col("date_time")).isNull())
+
+
 def with_typed_size(parsed: DataFrame) -> DataFrame:
     """Numeric size; ``try_cast`` turns text that is not a number into NULL."""
     return parsed.withColumn("content_size_int", F.col("content_size").try_cast("int"))

@@ -4,114 +4,90 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.logs import ACCESS_LOG_PATTERN, ACCESS_LOG_PATTERN_LENIENT, DATE_TIME_SPLIT_PATTERN
+from ..functions.logs import ACCESS_LOG_FIELDS
 from ..operators.weblog import (access_log_lines, map_fields, parse_access_log, parsed_map, top_counts,
                                 with_typed_size, with_typed_time)
-from ..sources.readers import Tables
+from ..session import scratch_path
+from ..sources.readers import Tables, read_log_lines
+from ..sources.stored import stored
 from .registry import query
 
-_LINES = """WITH lines AS (
-  SELECT 'u' || CAST(user_id AS VARCHAR) || '.example.net - - [' || strftime(ts, '%d/%b/%Y:%H:%M:%S')
-         || ' -0400] "GET /' || event_type || '/' || CAST(event_id % 50 AS VARCHAR) || ' HTTP/1.0" '
-         || CASE WHEN event_type = 'error' THEN '500' ELSE '200' END || ' '
-         || CASE WHEN event_type = 'error' THEN '-' ELSE CAST(event_id % 9973 AS VARCHAR) END AS value
-  FROM events)"""
-
-
-def _only_group(pat: str, k: int) -> str:
-    """The pattern with every capturing group but the k-th made non-capturing
-    (DuckDB extracts groups 0-9 only)."""
-    out, n, i = [], 0, 0
-    while i < len(pat):
-        ch = pat[i]
-        if ch == "\\":
-            out.append(pat[i:i + 2])
-            i += 2
-            continue
-        if ch == "(" and not pat.startswith("(?", i):
-            n += 1
-            out.append("(" if n == k else "(?:")
-        else:
-            out.append(ch)
-        i += 1
-    return "".join(out)
-
-
-def _fields_sql(pat: str, lenient: bool = False) -> str:
-    g = [f"regexp_extract(value, '{pat}', {i})" for i in range(1, 10)]
-    g.append(f"regexp_extract(value, '{_only_group(pat, 10)}', 1)")
-    size = g[9] if not lenient else f"CASE WHEN {g[9]} = '-' THEN '0' ELSE {g[9]} END"
-    return (f"{g[0]} AS host, {g[1]} AS client_identd, {g[2]} AS user_id, "
-            f"{g[3]} || ' ' || {g[4]} AS date_time, {g[5]} AS method, {g[6]} AS endpoint, "
-            f"{g[7]} AS protocol, {g[8]} AS response_code, {size} AS content_size")
-
-
-_PARSED = _LINES + f""",
-parsed AS (SELECT {_fields_sql(ACCESS_LOG_PATTERN)} FROM lines WHERE regexp_matches(value, '{ACCESS_LOG_PATTERN}'))
+# The oracles know what each line was made from: its fields come from the
+# event, not from a pattern. An error line has the size '-', which the strict
+# pattern refuses.
+_LOG = """WITH log AS (SELECT event_type = 'error' AS refused, format('u{}.example.net', user_id) AS host,
+  '-' AS client_identd, '-' AS user_id, strftime(ts, '%d/%b/%Y:%H:%M:%S') || ' -0400' AS date_time, 'GET' AS method,
+  format('/{}/{}', event_type, event_id % 50) AS endpoint, 'HTTP/1.0' AS protocol,
+  if(event_type = 'error', '500', '200') AS response_code,
+  if(event_type = 'error', '-', CAST(event_id % 9973 AS VARCHAR)) AS content_size, ts FROM events),
+parsed AS (SELECT * EXCLUDE (refused, ts) FROM log WHERE NOT refused)
 """
 
 
+def log_lines(t: Tables):
+    """The access log as gz text files, written once per state of ``events`` and scanned by every job (O-S2)."""
+    def build():
+        path = scratch_path(t.spark, "access-log")
+        access_log_lines(t.events).write.option("compression", "gzip").text(path)
+        return read_log_lines(t.spark, path)
+
+    return stored("access-log", [t.events], build)
+
+
 def _parsed(t: Tables):
-    return parse_access_log(access_log_lines(t.events)).parsed
+    return parse_access_log(log_lines(t)).parsed
 
 
-@query("log_parse", _PARSED + "SELECT * FROM parsed")
+@query("log_parse", _LOG + "FROM parsed")
 def log_parse(t: Tables):
     """Lines -> nine named fields with the strict pattern (O-LG1, O-F8)."""
     return _parsed(t)
 
 
-@query("log_rejects", _LINES + f"\nSELECT value FROM lines WHERE NOT regexp_matches(value, '{ACCESS_LOG_PATTERN}')")
+@query("log_rejects", _LOG + """SELECT format('{} - - [{}] "GET {} HTTP/1.0" 500 -', host, date_time, endpoint) AS value
+FROM log WHERE refused""")
 def log_rejects(t: Tables):
     """Lines the strict pattern does not take (kept, not lost)."""
-    return parse_access_log(access_log_lines(t.events)).rejected
+    return parse_access_log(log_lines(t)).rejected
 
 
-@query("log_parse_lenient", _LINES + f"""
-SELECT {_fields_sql(ACCESS_LOG_PATTERN_LENIENT, lenient=True)} FROM lines
-WHERE regexp_matches(value, '{ACCESS_LOG_PATTERN_LENIENT}')""")
+@query("log_parse_lenient", _LOG + """
+SELECT * EXCLUDE (refused, ts) REPLACE (if(refused, '0', content_size) AS content_size) FROM log""")
 def log_parse_lenient(t: Tables):
     """Lenient pattern: a '-' size parses as 0 (O-F12)."""
-    return parse_access_log(access_log_lines(t.events), lenient=True).parsed
+    return parse_access_log(log_lines(t), lenient=True).parsed
 
 
-@query("log_map_fields", _LINES + f"""
-SELECT CASE WHEN regexp_matches(value, '{ACCESS_LOG_PATTERN}') THEN regexp_extract(value, '{ACCESS_LOG_PATTERN}', 1) END
-         AS host,
-       CASE WHEN regexp_matches(value, '{ACCESS_LOG_PATTERN}')
-            THEN regexp_extract(value, '{ACCESS_LOG_PATTERN}', 4) || ' ' || regexp_extract(value, '{ACCESS_LOG_PATTERN}', 5)
-       END AS date_time
-FROM lines""")
+@query("log_map_fields", _LOG + "SELECT " + ", ".join(
+    f"if(refused, NULL, {f}) AS {f}" for f in ACCESS_LOG_FIELDS) + " FROM log")
 def log_map_fields(t: Tables):
-    """Map column ``parsed`` and ``parsed['field'] AS field`` selection (O-F10, O-U3)."""
-    return map_fields(parsed_map(access_log_lines(t.events)), ["host", "date_time"])
+    """Map column ``parsed`` and every field out of it by name (O-F10, O-U3)."""
+    return map_fields(parsed_map(log_lines(t)), ACCESS_LOG_FIELDS)
 
 
-@query("log_timestamp", _PARSED + f"""
-SELECT *, regexp_extract(date_time, '{DATE_TIME_SPLIT_PATTERN}', 1) AS date,
-       regexp_extract(date_time, '{DATE_TIME_SPLIT_PATTERN}', 2) AS time,
-       timezone('UTC', strptime(date_time, '%d/%b/%Y:%H:%M:%S %z')) AS event_time
-FROM parsed""")
+@query("log_timestamp", _LOG + """
+SELECT * EXCLUDE (refused, ts), strftime(ts, '%d/%b/%Y') AS date, strftime(ts, '%H:%M:%S') AS time,
+       date_trunc('second', ts) + INTERVAL 4 HOUR AS event_time FROM log WHERE NOT refused""")
 def log_timestamp(t: Tables):
     """Date and time split out of the log time, plus the typed instant (O-F9)."""
     return with_typed_time(_parsed(t))
 
 
-@query("popular_hosts", _PARSED + "SELECT host, count(*) AS count FROM parsed GROUP BY host "
+@query("popular_hosts", _LOG + "SELECT host, count(*) AS count FROM parsed GROUP BY host "
        "ORDER BY count DESC, host LIMIT 15")
 def popular_hosts(t: Tables):
     """Top 15 hosts (O-LG2)."""
     return top_counts(_parsed(t), "host", 15)
 
 
-@query("popular_content", _PARSED + "SELECT endpoint, count(*) AS count FROM parsed GROUP BY endpoint "
+@query("popular_content", _LOG + "SELECT endpoint, count(*) AS count FROM parsed GROUP BY endpoint "
        "ORDER BY count DESC, endpoint LIMIT 10")
 def popular_content(t: Tables):
     """Top 10 endpoints (O-LG3)."""
     return top_counts(_parsed(t), "endpoint", 10)
 
 
-@query("large_files_text", _PARSED + "SELECT endpoint, content_size FROM parsed "
+@query("large_files_text", _LOG + "SELECT endpoint, content_size FROM parsed "
        "ORDER BY content_size DESC, endpoint LIMIT 10")
 def large_files_text(t: Tables):
     """Top sizes sorted as text: '999' before '9972' (the untyped-sort trap, O-L5)."""
@@ -119,7 +95,7 @@ def large_files_text(t: Tables):
             .orderBy(F.desc("content_size"), "endpoint").limit(10))
 
 
-@query("large_files", _PARSED + "SELECT endpoint, TRY_CAST(content_size AS INTEGER) AS content_size_int "
+@query("large_files", _LOG + "SELECT endpoint, TRY_CAST(content_size AS INTEGER) AS content_size_int "
        "FROM parsed ORDER BY content_size_int DESC, endpoint LIMIT 10")
 def large_files(t: Tables):
     """Top sizes after the numeric cast (O-LG4, O-F7)."""
