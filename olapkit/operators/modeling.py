@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.readers import sized_count
+from ..session import scratch_path
 
 _LOCAL_BITS = 33   # monotonically_increasing_id: partition id above bit 33, row index below
 
@@ -37,28 +37,28 @@ def add_surrogate_key(df: DataFrame, order_cols: Sequence[str], id_col: str = "i
                       num_partitions: int | None = None, start: int = 1) -> DataFrame:
     """Consecutive ids ``start, start+1, ...`` in ``order_cols`` order (SERIAL).
 
-    No single-partition window: rows are range-partitioned and sorted on the
-    order columns, the row index inside each partition is read from
-    ``monotonically_increasing_id`` (partition id in the high bits), and each
-    partition's offset is the running sum of the partition sizes, a table
-    with one row per partition (bounded by ``num_partitions``, so its
-    broadcast is safe; by default one partition per 256 MB of input). The
-    sorted input is checkpointed to the shared
-    checkpoint folder so a recomputation after a lost executor sees the same
-    rows in the same places. ``order_cols`` should be unique per row (add a
-    key as the last column) so ties cannot split unevenly.
+    No window over all rows: rows are range-partitioned and sorted on the
+    order columns (adaptive execution sizes the partitions from the rows
+    themselves, so five values give one partition whatever they were derived
+    from), and written with their partition and place to the shared folder,
+    so every later read sees the same places. Each partition's offset is the
+    running sum of the partition sizes: a table with one row per partition,
+    which is what the window and the join see. ``order_cols`` should be
+    unique per row (add a key as the last column) so ties cannot split
+    unevenly.
     """
-    n = num_partitions or sized_count(df)
     order_cols = list(order_cols)
-    ranked = (df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_mono", F.monotonically_increasing_id())
-              .checkpoint(eager=True))
+    ranged = df.repartitionByRange(num_partitions, *order_cols) if num_partitions else df.repartitionByRange(*order_cols)
+    path = scratch_path(df.sparkSession, "ranked")
+    (ranged.sortWithinPartitions(*order_cols)
+     .withColumn("_pid", F.spark_partition_id()).withColumn("_mono", F.monotonically_increasing_id())
+     .write.parquet(path))
+    ranked = df.sparkSession.read.parquet(path)
     sizes = ranked.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     local = F.col("_mono") - F.shiftleft(F.col("_pid").cast("bigint"), _LOCAL_BITS)
-    return (ranked.join(F.broadcast(offsets), "_pid")
+    return (ranked.join(offsets, "_pid")
             .withColumn(id_col, (F.col("_off") + local + F.lit(start)).cast("bigint"))
             .drop("_pid", "_mono", "_off"))
 
@@ -96,16 +96,15 @@ def denormalize(base: DataFrame, lookups: Sequence[tuple[DataFrame, str | list[s
 def upsert(df: DataFrame, key: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
     """One row per key, the last by ``order_cols`` (last write wins, O-DM14).
 
-    ``max`` over a struct led by the ordering columns (the remaining columns
-    follow as tie-breaks, so full ties pick the same row every run) returns
-    the winning row itself. The aggregation stays partial on the map side, so
-    a hot key costs one row per input partition in the shuffle rather than
-    all of its rows in one task.
+    The row number in descending order (the remaining columns follow as
+    tie-breaks, so full ties pick the same row every run) is cut at 1; Spark
+    applies that cut to each input partition before the shuffle too, so a hot
+    key sends one row per partition.
     """
     key = list(key)
-    rest = [c for c in df.columns if c not in key]
-    ordering = [*order_cols, *[c for c in rest if c not in order_cols]]
-    return df.groupBy(*key).agg(F.max(F.struct(*ordering)).alias("_row")).select(*key, "_row.*")
+    ordering = [*order_cols, *[c for c in df.columns if c not in key and c not in order_cols]]
+    last = F.row_number().over(Window.partitionBy(*key).orderBy(*[F.col(c).desc_nulls_last() for c in ordering]))
+    return df.withColumn("_nth", last).where("_nth = 1").select(*key, *ordering)
 
 
 def merge_upsert(base: DataFrame, changes: DataFrame, key: Sequence[str],
@@ -128,12 +127,13 @@ def materialize_for_query(df: DataFrame, path: str, partition_key: Sequence[str]
     clustering columns -> sort order inside files, so parquet min/max
     statistics skip row groups. Range partitioning on key + clustering + a
     hash of the whole row splits a hot key over several tasks instead of one
-    (the hash is deterministic, so a recomputed task sees the same rows)."""
+    (the hash is deterministic, so a recomputed task sees the same rows);
+    adaptive execution sizes the partitions from the rows."""
     keys = [*partition_key, *clustering]
     spark = df.sparkSession
-    n = num_partitions or sized_count(df)
-    spread = F.xxhash64(*[F.col(c) for c in df.columns])
-    laid = df.repartitionByRange(n, *[F.col(k) for k in keys], spread).sortWithinPartitions(*keys)
+    order = [*[F.col(k) for k in keys], F.xxhash64(*[F.col(c) for c in df.columns])]
+    laid = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
+    laid = laid.sortWithinPartitions(*keys)
     w = laid.write.mode(mode)
     if directories:
         w = w.partitionBy(*partition_key)
