@@ -20,10 +20,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import date_key, date_parts
-from ..sources.readers import Tables, sized_count
+from ..sources.readers import Tables
 
 AMOUNT = "decimal(12,2)"       # exact money type for line amounts
-REVENUE = "decimal(18,2)"      # result type of revenue sums
+REVENUE = "decimal(38,2)"      # result type of revenue sums: no sum over 100 TB of sales leaves it
 DEFAULT_LOAD_DATE = _dt.datetime(2024, 1, 1)
 
 
@@ -90,8 +90,13 @@ def build_dim_customer(t: Tables, load_date=DEFAULT_LOAD_DATE) -> DataFrame:
 
 
 def build_dim_item(t: Tables) -> DataFrame:
-    """Item (film) dimension (O-DM9)."""
-    return t.part.select(
+    """Item dimension (O-DM9). One lookup table is joined twice: every item
+    has a nation it is made in (inner join), and may have one it was designed
+    in (left join, else NULL)."""
+    made = t.nation.select(F.col("n_nationkey").alias("_made"), F.col("n_name").alias("made_in"))
+    designed = t.nation.select(F.col("n_nationkey").alias("_designed"), F.col("n_name").alias("designed_in"))
+    p = t.part
+    return p.join(made, p.p_partkey % 25 == F.col("_made")).join(designed, p.p_size == F.col("_designed"), "left").select(
         F.col("p_partkey").alias("item_key"),
         F.col("p_partkey").alias("item_id"),
         F.col("p_name").alias("title"),
@@ -99,6 +104,8 @@ def build_dim_item(t: Tables) -> DataFrame:
         F.col("p_brand").alias("brand"),
         F.col("p_size").alias("size"),
         F.col("p_retailprice").alias("retail_price"),
+        "made_in",
+        "designed_in",
     )
 
 
@@ -170,9 +177,9 @@ def write_star(star: Star, out_dir: str, mode: str = "overwrite", num_partitions
     out_dir = out_dir.rstrip("/")
     for name, df in star.tables().items():
         if name == "fact":
-            n = num_partitions or sized_count(df)
-            df = (df.repartitionByRange(n, "date_key", "order_key")
-                  .sortWithinPartitions("date_key", "order_key")
+            by = ["date_key", "order_key"]
+            df = df.repartitionByRange(num_partitions, *by) if num_partitions else df.repartitionByRange(*by)
+            df = (df.sortWithinPartitions("date_key", "order_key")
                   .withColumn("year_key", year_key("date_key")))
             df.write.mode(mode).partitionBy("year_key").parquet(f"{out_dir}/{name}")
         else:

@@ -1,44 +1,15 @@
 """Registered jobs (one per SURVEY §2 key) and their DuckDB oracle SQL."""
 
+from . import eventlog, files, modeling, quality, ssb, warehouse, weblog  # noqa: F401
 from .registry import ORACLE, QUERIES, query
 
-_LOADED = False
-
-
-def load_all() -> None:
-    """Import every plan module so its keys register."""
-    global _LOADED
-    if _LOADED:
-        return
-    from . import warehouse  # noqa: F401
-    for mod in ("ssb", "eventlog", "weblog", "modeling", "quality"):
-        try:
-            __import__(f"{__name__}.{mod}")
-        except ModuleNotFoundError as e:
-            if e.name != f"{__name__}.{mod}":
-                raise
-    _LOADED = True
-
-
-def reset_stored() -> None:
-    """Forget the stored star, SSB tables and 1NF table, so the next query
-    rebuilds them (use when the source tables change within an application)."""
-    load_all()
-    from . import modeling, ssb, warehouse
-
-    warehouse._STARS.clear()
-    ssb._LOADED.clear()
-    modeling._NF1_STORED.clear()
-
 
 def queries():
-    load_all()
     return dict(QUERIES)
 
 
 def oracle_sql():
-    load_all()
     return dict(ORACLE)
 
 
-__all__ = ["ORACLE", "QUERIES", "query", "queries", "oracle_sql", "load_all", "reset_stored"]
+__all__ = ["ORACLE", "QUERIES", "query", "queries", "oracle_sql"]

@@ -32,7 +32,9 @@ DIM_CUSTOMER = """dim_customer AS (
 
 DIM_ITEM = """dim_item AS (
   SELECT p_partkey AS item_key, p_partkey AS item_id, p_name AS title, p_type AS rating,
-         p_brand AS brand, p_size AS size, p_retailprice AS retail_price
+         p_brand AS brand, p_size AS size, p_retailprice AS retail_price,
+         (SELECT n_name FROM nation WHERE n_nationkey = p_partkey % 25) AS made_in,
+         (SELECT n_name FROM nation WHERE n_nationkey = p_size) AS designed_in
   FROM part)"""
 
 DIM_STORE = """dim_store AS (

@@ -5,14 +5,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators.olap import CubeQuery
+from ..operators.olap import CubeQuery, materialize_cube
+from ..operators.quality import multiset_diff
 from ..operators.star import (REVENUE, Star, build_dim_customer, build_dim_date, build_dim_item, build_dim_store,
                               build_fact, build_star, customer_geo, read_star, sales, supplier_geo, write_star)
 from ..session import scratch_path
 from ..sources.readers import Tables
+from ..sources.stored import stored
 from .registry import query
 from .sqlbits import DIM_CUSTOMER, DIM_DATE, DIM_ITEM, DIM_STORE, FACT, SALE, STAR, with_ctes
 
+STAR_INPUTS = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 PROFILE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 
@@ -20,26 +23,20 @@ def _rev(col="amt", name="revenue"):
     return F.sum(col).cast(REVENUE).alias(name)
 
 
-_STARS: dict[tuple[str, str | None], Star] = {}
-
-
 def stored_star(t: Tables) -> Star:
-    """The star built once per application and table root, then read back.
+    """The star of the tables as they are now, built once and read back.
 
-    ETL once, query many (as the reference does): the 3NF join that makes the
-    fact runs one time, the star is written under ``spark.checkpoint.dir``
-    (shared, so it survives lost executors) with the fact partitioned by
-    year, and every OLAP/star query reads it, letting date filters prune
-    fact partitions.
+    ETL once, query many: the 3NF join that makes the fact runs one time, the
+    star is written to the shared folder with the fact partitioned by year,
+    and every OLAP/star query reads it, letting date filters prune fact
+    partitions. Changed tables (snapshot of their files) get a new star.
     """
-    key = (t.spark.sparkContext.applicationId, t.root)
-    star = _STARS.get(key)
-    if star is None:
+    def build() -> Star:
         path = scratch_path(t.spark, "star")
         write_star(build_star(t), path)
-        star = read_star(t.spark, path)
-        _STARS[key] = star
-    return star
+        return read_star(t.spark, path)
+
+    return stored("star", [t.get(n) for n in STAR_INPUTS], build)
 
 
 # ---------------------------------------------------------------- 3NF profile
@@ -140,7 +137,7 @@ def snowflake_detail(t: Tables):
 
 
 @query("top_items_revenue", with_ctes(SALE) + """
-SELECT p.p_name AS title, CAST(sum(s.amt) AS DECIMAL(18,2)) AS revenue
+SELECT p.p_name AS title, CAST(sum(s.amt) AS DECIMAL(38,2)) AS revenue
 FROM sale s JOIN part p ON s.l_partkey = p.p_partkey
 GROUP BY p.p_name ORDER BY revenue DESC, title LIMIT 10""")
 def top_items_revenue(t: Tables):
@@ -151,7 +148,7 @@ def top_items_revenue(t: Tables):
 
 
 @query("top_items_by_key", with_ctes(SALE) + """
-SELECT p.p_partkey AS item_id, p.p_name AS title, CAST(sum(s.amt) AS DECIMAL(18,2)) AS revenue
+SELECT p.p_partkey AS item_id, p.p_name AS title, CAST(sum(s.amt) AS DECIMAL(38,2)) AS revenue
 FROM sale s JOIN part p ON s.l_partkey = p.p_partkey
 GROUP BY p.p_partkey, p.p_name ORDER BY revenue DESC, item_id LIMIT 10""")
 def top_items_by_key(t: Tables):
@@ -163,7 +160,7 @@ def top_items_by_key(t: Tables):
 
 
 @query("top_cities_revenue", with_ctes(SALE) + """
-SELECT n.n_name AS city, CAST(sum(s.amt) AS DECIMAL(18,2)) AS revenue
+SELECT n.n_name AS city, CAST(sum(s.amt) AS DECIMAL(38,2)) AS revenue
 FROM sale s JOIN customer c ON s.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
 GROUP BY n.n_name ORDER BY revenue DESC, city LIMIT 10""")
 def top_cities_revenue(t: Tables):
@@ -175,7 +172,7 @@ def top_cities_revenue(t: Tables):
 
 
 @query("revenue_by_month", with_ctes(SALE) + """
-SELECT CAST(month(o_orderdate) AS INTEGER) AS month, CAST(sum(amt) AS DECIMAL(18,2)) AS revenue
+SELECT CAST(month(o_orderdate) AS INTEGER) AS month, CAST(sum(amt) AS DECIMAL(38,2)) AS revenue
 FROM sale GROUP BY month ORDER BY revenue DESC, month""")
 def revenue_by_month(t: Tables):
     """Group by an output alias (O-A16)."""
@@ -183,25 +180,21 @@ def revenue_by_month(t: Tables):
             .orderBy(F.desc("revenue"), "month"))
 
 
-@query("role_playing_left_join", with_ctes(SALE) + """
-SELECT cn.n_name AS customer_nation, sn.n_name AS supplier_nation, count(*) AS n_sales
-FROM sale s
-JOIN customer c ON s.o_custkey = c.c_custkey
-JOIN nation cn ON c.c_nationkey = cn.n_nationkey
-LEFT JOIN (SELECT s2.s_suppkey, n2.n_name FROM supplier s2
-           JOIN nation n2 ON s2.s_nationkey = n2.n_nationkey
-           JOIN region r2 ON n2.n_regionkey = r2.r_regionkey WHERE r2.r_name = 'AMERICA') sn
-  ON s.l_suppkey = sn.s_suppkey
-GROUP BY cn.n_name, sn.n_name""")
+@query("role_playing_left_join", """
+SELECT (SELECT n_name FROM nation, customer WHERE n_nationkey = c_nationkey AND c_custkey = o_custkey) AS customer_nation,
+       (SELECT n_name FROM nation, supplier WHERE n_nationkey = s_nationkey
+        AND s_suppkey = if(l_linenumber % 5 = 0, -l_suppkey - 1, l_suppkey)) AS supplier_nation, count(*) AS n_sales
+FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY ALL""")
 def role_playing_left_join(t: Tables):
     """One lookup table in two roles: customer nation (inner) and supplier
-    nation restricted to one region (left outer, misses stay NULL) (O-J5)."""
+    nation (left outer). Every fifth line of an order names a supplier that
+    does not exist, whose nation stays NULL (O-J5)."""
     s, c = sales(t), t.customer
-    cn = t.nation.select(F.col("n_nationkey").alias("cn_key"), F.col("n_name").alias("customer_nation"))
-    sg = supplier_geo(t).filter(F.col("r_name") == "AMERICA").select(
-        F.col("s_suppkey").alias("sn_suppkey"), F.col("n_name").alias("supplier_nation"))
-    return (s.join(c, s.o_custkey == c.c_custkey).join(cn, c.c_nationkey == cn.cn_key)
-            .join(sg, s.l_suppkey == sg.sn_suppkey, "left")
+    supplier = F.when(F.col("l_linenumber") % 5 == 0, -F.col("l_suppkey") - 1).otherwise(F.col("l_suppkey"))
+    buyers = c.join(t.nation, c.c_nationkey == F.col("n_nationkey")).select(
+        F.col("c_custkey").alias("o_custkey"), F.col("n_name").alias("customer_nation"))
+    sellers = supplier_geo(t).select(F.col("s_suppkey").alias("seller"), F.col("n_name").alias("supplier_nation"))
+    return (s.withColumn("seller", supplier).join(buyers, "o_custkey").join(sellers, "seller", "left")
             .groupBy("customer_nation", "supplier_nation").agg(F.count(F.lit(1)).alias("n_sales")))
 
 
@@ -250,7 +243,7 @@ def star_detail(t: Tables):
 
 
 STAR_REVENUE_SQL = with_ctes(STAR) + """
-SELECT i.title, d.month, c.city, CAST(sum(f.sales_amount) AS DECIMAL(18,2)) AS revenue
+SELECT i.title, d.month, c.city, CAST(sum(f.sales_amount) AS DECIMAL(38,2)) AS revenue
 FROM fact f JOIN dim_item i ON i.item_key = f.item_key
 JOIN dim_date d ON d.date_key = f.date_key
 JOIN dim_customer c ON c.customer_key = f.customer_key
@@ -258,7 +251,7 @@ GROUP BY i.title, d.month, c.city"""
 
 SNOWFLAKE_REVENUE_SQL = with_ctes(SALE) + """
 SELECT p.p_name AS title, CAST(month(s.o_orderdate) AS SMALLINT) AS month, n.n_name AS city,
-       CAST(sum(s.amt) AS DECIMAL(18,2)) AS revenue
+       CAST(sum(s.amt) AS DECIMAL(38,2)) AS revenue
 FROM sale s JOIN part p ON s.l_partkey = p.p_partkey
 JOIN customer c ON s.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
 GROUP BY p.p_name, month(s.o_orderdate), n.n_name"""
@@ -291,13 +284,10 @@ SELECT (SELECT count(*) FROM (SELECT * FROM star_q EXCEPT ALL SELECT * FROM snow
        (SELECT count(*) FROM (SELECT * FROM snow_q EXCEPT ALL SELECT * FROM star_q) b) AS snowflake_minus_star""")
 def star_equals_snowflake(t: Tables):
     """Differences both ways between the star and the 3NF answer: (0, 0)."""
-    a = star_revenue(t).select("title", "month", "city", "revenue")
-    b = _snowflake_revenue(t).select("title", "month", "city", "revenue")
-    d1 = a.exceptAll(b).select(F.lit(1).alias("side"))
-    d2 = b.exceptAll(a).select(F.lit(2).alias("side"))
-    return d1.unionByName(d2).agg(
-        F.count(F.when(F.col("side") == 1, 1)).alias("star_minus_snowflake"),
-        F.count(F.when(F.col("side") == 2, 1)).alias("snowflake_minus_star"))
+    cols = ["title", "month", "city", "revenue"]
+    diff = multiset_diff(star_revenue(t).select(*cols), _snowflake_revenue(t).select(*cols))
+    side = lambda sign: F.coalesce(F.sum(F.greatest(F.lit(0), sign * F.col("_surplus"))), F.lit(0))
+    return diff.agg(side(1).alias("star_minus_snowflake"), side(-1).alias("snowflake_minus_star"))
 
 
 # ------------------------------------------------------------------ OLAP cube
@@ -305,20 +295,20 @@ def _cube(t: Tables) -> CubeQuery:
     return CubeQuery(stored_star(t))
 
 
-@query("total_revenue", with_ctes(FACT) + "SELECT CAST(sum(sales_amount) AS DECIMAL(18,2)) AS revenue FROM fact")
+@query("total_revenue", with_ctes(FACT) + "SELECT CAST(sum(sales_amount) AS DECIMAL(38,2)) AS revenue FROM fact")
 def total_revenue(t: Tables):
     return _cube(t).frame()
 
 
 @query("revenue_by_country", with_ctes(FACT, DIM_STORE) + """
-SELECT st.country, CAST(sum(f.sales_amount) AS DECIMAL(18,2)) AS revenue
+SELECT st.country, CAST(sum(f.sales_amount) AS DECIMAL(38,2)) AS revenue
 FROM fact f JOIN dim_store st ON f.store_key = st.store_key GROUP BY st.country""")
 def revenue_by_country(t: Tables):
     return _cube(t).by("store_country").frame().withColumnRenamed("store_country", "country")
 
 
 @query("revenue_month_country", with_ctes(FACT, DIM_DATE, DIM_STORE) + """
-SELECT d.month, st.country, CAST(sum(f.sales_amount) AS DECIMAL(18,2)) AS revenue
+SELECT d.month, st.country, CAST(sum(f.sales_amount) AS DECIMAL(38,2)) AS revenue
 FROM fact f JOIN dim_date d ON f.date_key = d.date_key JOIN dim_store st ON f.store_key = st.store_key
 GROUP BY d.month, st.country""")
 def revenue_month_country(t: Tables):
@@ -327,36 +317,41 @@ def revenue_month_country(t: Tables):
             .withColumnRenamed("store_country", "country"))
 
 
-_OLAP_JOIN = """FROM fact s
-JOIN dim_date d ON s.date_key = d.date_key
-JOIN dim_item m ON s.item_key = m.item_key
-JOIN dim_customer c ON s.customer_key = c.customer_key"""
+# The oracles of the cube operations state each question over the source
+# tables: one row per sale with the levels that are asked for.
+_SALES_BY_LEVEL = """WITH sold AS (
+  SELECT CAST(extract('day' FROM o_orderdate) AS SMALLINT) AS day, CAST(extract('month' FROM o_orderdate) AS SMALLINT) AS month,
+         p_type AS rating, c_mktsegment AS district, buyer.n_name AS city, home.r_name AS country,
+         shop.r_name AS store_country, CAST(l_extendedprice AS DECIMAL(12,2)) AS paid
+  FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey
+  JOIN customer ON c_custkey = o_custkey JOIN nation AS buyer ON buyer.n_nationkey = c_nationkey
+  JOIN region AS home ON home.r_regionkey = buyer.n_regionkey
+  JOIN supplier ON s_suppkey = l_suppkey JOIN nation AS seller ON seller.n_nationkey = s_nationkey
+  JOIN region AS shop ON shop.r_regionkey = seller.n_regionkey)
+"""
+
+
+def _levels_sql(levels: str, where: str = "true", top: int | None = None) -> str:
+    best = f"QUALIFY row_number() OVER (ORDER BY revenue DESC, {levels}) <= {top}" if top else ""
+    return (f"{_SALES_BY_LEVEL}SELECT {levels}, CAST(sum(paid) AS DECIMAL(38,2)) AS revenue FROM sold "
+            f"WHERE {where} GROUP BY {levels} {best}")
 
 
-@query("olap_base", with_ctes(STAR) + f"""
-SELECT d.day, m.rating, c.city, CAST(sum(s.sales_amount) AS DECIMAL(18,2)) AS revenue
-{_OLAP_JOIN}
-GROUP BY d.day, m.rating, c.city ORDER BY revenue DESC, d.day, m.rating, c.city LIMIT 20""")
+@query("olap_base", _levels_sql("day, rating, city", top=20))
 def olap_base(t: Tables):
     """Revenue by day, rating and city, top 20 (O-O1)."""
     return _cube(t).by("day", "rating", "city").top(20)
 
 
-@query("olap_slice", with_ctes(STAR) + f"""
-SELECT d.day, m.rating, c.city, CAST(sum(s.sales_amount) AS DECIMAL(18,2)) AS revenue
-{_OLAP_JOIN}
-WHERE m.rating = 'ECONOMY'
-GROUP BY d.day, m.rating, c.city ORDER BY revenue DESC, d.day, m.rating, c.city LIMIT 10""")
+@query("olap_slice", _levels_sql("day, rating, city", "rating = 'ECONOMY'", 10))
 def olap_slice(t: Tables):
     """Slice: one rating (O-O2)."""
     return _cube(t).by("day", "rating", "city").slice("rating", "ECONOMY").top(10)
 
 
-@query("olap_dice", with_ctes(STAR) + f"""
-SELECT d.day, m.rating, c.city, CAST(sum(s.sales_amount) AS DECIMAL(18,2)) AS revenue
-{_OLAP_JOIN}
-WHERE m.rating IN ('ECONOMY', 'PROMO') AND c.city IN ('NATION_1', 'NATION_5') AND d.day IN (1, 15, 30)
-GROUP BY d.day, m.rating, c.city""")
+@query("olap_dice", _levels_sql(
+    "day, rating, city", "(rating, city) IN (SELECT * FROM (VALUES ('ECONOMY'), ('PROMO')), (VALUES ('NATION_1'), "
+    "('NATION_5'))) AND list_contains([1, 15, 30], day)"))
 def olap_dice(t: Tables):
     """Dice: values on three dimensions (O-O3)."""
     return (_cube(t).by("day", "rating", "city")
@@ -364,29 +359,29 @@ def olap_dice(t: Tables):
             .frame())
 
 
-@query("olap_rollup", with_ctes(STAR) + f"""
-SELECT d.day, m.rating, c.country, CAST(sum(s.sales_amount) AS DECIMAL(18,2)) AS revenue
-{_OLAP_JOIN}
-GROUP BY d.day, m.rating, c.country ORDER BY revenue DESC, d.day, m.rating, c.country LIMIT 10""")
+@query("olap_rollup", _levels_sql("day, rating, country", top=10))
 def olap_rollup(t: Tables):
     """Roll-up city -> country (O-O4)."""
     return _cube(t).by("day", "rating", "city").rollup_to("city", "country").top(10)
 
 
-@query("olap_drilldown", with_ctes(STAR) + f"""
-SELECT d.day, m.rating, c.district, CAST(sum(s.sales_amount) AS DECIMAL(18,2)) AS revenue
-{_OLAP_JOIN}
-GROUP BY d.day, m.rating, c.district ORDER BY revenue DESC, d.day, m.rating, c.district LIMIT 10""")
+@query("olap_drilldown", _levels_sql("day, rating, district", top=10))
 def olap_drilldown(t: Tables):
     """Drill-down city -> district (O-O5)."""
     return _cube(t).by("day", "rating", "city").drill_to("city", "district").top(10)
 
 
-_MONTH_COUNTRY = with_ctes(FACT, DIM_DATE, DIM_STORE) + """
-SELECT d.month, st.country, CAST(sum(s.sales_amount) AS DECIMAL(18,2)) AS revenue{gid}
-FROM fact s JOIN dim_date d ON s.date_key = d.date_key JOIN dim_store st ON s.store_key = st.store_key
-GROUP BY {grouping}
-ORDER BY d.month ASC NULLS LAST, st.country ASC NULLS LAST, revenue DESC"""
+# Every grouping of month and country, marked by its id (1: country summed up,
+# 2: month summed up).
+_ALL_GROUPINGS = _SALES_BY_LEVEL + """, lattice AS (
+  SELECT if(id & 2 = 2, NULL, month) AS month, if(id & 1 = 1, NULL, store_country) AS country, id, paid
+  FROM sold, (SELECT unnest(range(4)) AS id))
+"""
+
+
+def _groupings_sql(extra: str = "", month: str = "month") -> str:
+    return (f"{_ALL_GROUPINGS}SELECT {month} AS month, country, CAST(sum(paid) AS DECIMAL(38,2)) AS revenue{extra} "
+            "FROM lattice GROUP BY lattice.month, country, id")
 
 
 def _month_country(df):
@@ -394,41 +389,38 @@ def _month_country(df):
             .orderBy(F.asc_nulls_last("month"), F.asc_nulls_last("country"), F.desc("revenue")))
 
 
-@query("olap_grouping_sets", _MONTH_COUNTRY.format(
-    gid="", grouping="GROUPING SETS ((), (d.month), (st.country), (d.month, st.country))"))
+@query("olap_grouping_sets", _groupings_sql())
 def olap_grouping_sets(t: Tables):
     """Four groupings in one aggregation (O-A13)."""
     return _month_country(_cube(t).grouping_sets(
         [[], ["month"], ["store_country"], ["month", "store_country"]]))
 
 
-@query("olap_cube", _MONTH_COUNTRY.format(gid="", grouping="CUBE (d.month, st.country)"))
+@query("olap_cube", _groupings_sql())
 def olap_cube(t: Tables):
     """CUBE of month × country (O-A14)."""
     return _month_country(_cube(t).cube("month", "store_country"))
 
 
-@query("olap_cube_gid", _MONTH_COUNTRY.format(
-    gid=", CAST(grouping(d.month, st.country) AS BIGINT) AS grouping_id",
-    grouping="CUBE (d.month, st.country)"))
+@query("olap_cube_gid", _groupings_sql(", CAST(id AS BIGINT) AS grouping_id"))
 def olap_cube_gid(t: Tables):
-    """CUBE with ``grouping_id`` so grouping NULLs differ from data NULLs (O-O8)."""
+    """CUBE with ``grouping_id`` so grouping NULLs differ from data NULLs."""
     return _month_country(_cube(t).cube("month", "store_country", with_id=True))
 
 
-@query("olap_cube_naive", with_ctes(FACT, DIM_DATE, DIM_STORE) + """
-SELECT NULL::VARCHAR AS month, NULL::VARCHAR AS country, CAST(sum(sales_amount) AS DECIMAL(18,2)) AS revenue
-FROM fact
-UNION ALL
-SELECT NULL, st.country, CAST(sum(sales_amount) AS DECIMAL(18,2))
-FROM fact f JOIN dim_store st ON st.store_key = f.store_key GROUP BY st.country
-UNION ALL
-SELECT CAST(d.month AS VARCHAR), NULL, CAST(sum(sales_amount) AS DECIMAL(18,2))
-FROM fact f JOIN dim_date d ON d.date_key = f.date_key GROUP BY d.month
-UNION ALL
-SELECT CAST(d.month AS VARCHAR), st.country, CAST(sum(sales_amount) AS DECIMAL(18,2))
-FROM fact f JOIN dim_date d ON d.date_key = f.date_key JOIN dim_store st ON st.store_key = f.store_key
-GROUP BY d.month, st.country""")
+@query("stored_cube", _groupings_sql(", CAST(id AS BIGINT) AS grouping_id") + " HAVING id IN (1, 3)")
+def stored_cube(t: Tables):
+    """The cube computed once, stored by grouping, and queried later: revenue
+    per month and in all, read from two of its folders (O-O8)."""
+    def build():
+        cube = _cube(t).cube("month", "store_country", with_id=True).withColumnRenamed("store_country", "country")
+        return materialize_cube(cube, scratch_path(t.spark, "cube"))
+
+    cube = stored("cube", [t.get(n) for n in STAR_INPUTS], build)
+    return cube.where(F.col("grouping_id").isin(1, 3)).withColumn("grouping_id", F.col("grouping_id").cast("bigint"))
+
+
+@query("olap_cube_naive", _groupings_sql(month="CAST(lattice.month AS VARCHAR)"))
 def olap_cube_naive(t: Tables):
     """The cube as four aggregates glued with UNION ALL, month as text (O-A15, O-L6)."""
     return (_cube(t).naive_union("month", "store_country", as_text=["month"])
