@@ -21,16 +21,3 @@ def test_queries_and_oracles_line_up():
     assert own <= set(o) <= set(q)
     assert all(callable(f) for f in q.values())
     assert all(isinstance(s, str) and s.strip() for s in o.values())
-
-
-def test_reset_stored_rebuilds(spark):
-    from olapkit import plans
-
-    from .conftest import SF_SMALL, rows_of
-
-    a = rows_of(plans.queries()["olap_cube"](spark, SF_SMALL))
-    plans.reset_stored()
-    from olapkit.plans import warehouse
-    assert not warehouse._STARS
-    b = rows_of(plans.queries()["olap_cube"](spark, SF_SMALL))
-    assert a == b and warehouse._STARS
