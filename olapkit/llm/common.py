@@ -46,11 +46,16 @@ def crc_remainder(doc_id: Column, modulus: int) -> Column:
 
 
 _SHIPPED: set[str] = set()
+#: Rows handed to Python at a time, where the session names no number: texts are long, so Spark's 10,000 are much memory.
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 1000
 
 
 def ship(spark: SparkSession) -> None:
     """Give the executors this package (once per application), so that Python functions of it can be loaded there
-    without a shared installation."""
+    without a shared installation; and bound the rows of a batch unless the session does."""
+    if BATCH not in spark.conf.getAll:
+        spark.conf.set(BATCH, str(BATCH_ROWS))
     sc = spark.sparkContext
     if sc.applicationId in _SHIPPED:
         return

@@ -12,7 +12,7 @@ _U = np.uint64
 _P, _K1, _K2 = 0x9E3779B97F4A7C15 | 1, _U(0xC2B2AE3D27D4EB4F), _U(0x9E3779B97F4A7C15)
 _PINV = pow(_P, -1, 1 << 64)
 #: Bytes hashed at a time (a longer word extends its piece).
-PIECE = 1 << 20
+PIECE = 1 << 18
 
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, 9, 10, 11, 12, 13]] = True
