@@ -46,6 +46,8 @@ WORDS, SMALL, FRAGMENTS = 5, 9, 8
 #: Sketch: 2^22 counters in blocks of 2^12; a shingle is frequent above this many times the mean plus a constant.
 SLOT_BITS, BLOCK_BITS = 22, 12
 FREQUENT_MEANS, FREQUENT_MORE = 8, 64
+#: Members of a hub that meet its set in one task.
+GROUP = 256
 #: Bits of the filter of wanted documents (fixed; when it is full it lets all pass, and the join decides).
 FILTER_BITS = 23
 
@@ -265,8 +267,12 @@ def _difference_pairs(members: DataFrame, fragments: DataFrame, levels) -> DataF
     """Candidate pairs (x, y) in large buckets with a member that is not linked to the hub. ``members``: (node, hub, n,
     hub_n) of large buckets."""
     own = fragments.groupBy("node").agg(F.flatten(F.collect_set("codes")).alias("codes"))  # a set's few fragments
-    both = members.join(own.select("node", F.col("codes").alias("xs")), "node").join(
-        own.select(F.col("node").alias("hub"), F.col("codes").alias("hs")), "hub").select(
+    # a hub's members are dealt by node too; its own set is repeated for every GROUP of them
+    groups = members.groupBy("hub").agg(F.ceil(F.count("*") / GROUP).cast("int").alias("groups"))
+    hubs = own.join(groups, F.col("node") == F.col("hub")).select(
+        "hub", F.col("codes").alias("hs"), F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("part"))
+    dealt = members.join(groups, "hub").withColumn("part", F.pmod(F.xxhash64("node"), F.col("groups")).cast("int"))
+    both = dealt.join(own.select("node", F.col("codes").alias("xs")), "node").join(hubs, ["hub", "part"]).select(
         "hub", "node", "n", "hub_n", F.array_union(F.array_except("xs", "hs"), F.array_except("hs", "xs")).alias("diff"))
 
     def lead(batches):
