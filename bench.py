@@ -3,8 +3,8 @@
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 
 Steps (as in the reference's table-design exercise): load the SSB tables in
-two layouts (``plain`` and ``dist``: bucketed/sorted), time each load;
-materialise the star; then time each headline query: one warm-up, then the
+two layouts (``plain`` and ``dist``: partitioned, bucketed, sorted), time each
+load; bulk-load delimited gz files; materialise the star; then time each headline query: one warm-up, then the
 median of ``BENCH_RUNS`` (default 5) runs. Queries run to completion into
 the ``noop`` sink, so nothing is collected on the driver. With ``BENCH_ALL=1``
 (default) every registered key is also timed once after a warm-up
@@ -33,10 +33,10 @@ def main() -> None:
 
     from olapkit import plans
     from olapkit.operators.olap import CubeQuery
-    from olapkit.operators.ssb import DIST_LAYOUT, SsbTables, compare_layouts, ssb_tables
+    from olapkit.operators.ssb import DIST_LAYOUT, SsbTables, compare_layouts, spread_hot_parts, ssb_tables
     from olapkit.operators.star import build_star, read_star, write_star
     from olapkit.session import JOB_CONF, LOCAL_CONF, configure
-    from olapkit.sources.readers import Tables
+    from olapkit.sources.readers import Tables, bulk_load
     from olapkit.sources.writers import load_tables
 
     builder = (SparkSession.builder.master(f"local[{cpus}]").appName("olapkit-bench")
@@ -59,12 +59,31 @@ def main() -> None:
     # ---- loads: SSB tables in both layouts, the star ------------------------
     src = ssb_tables(t)
     layouts = {}
+    buckets = max(8, cpus)
     for layout in ("plain", "dist"):
-        loads = load_tables(src.as_dict(), f"ssb_{layout}", layout, DIST_LAYOUT, buckets=max(8, cpus),
+        t0 = time.perf_counter()
+        tabs = spread_hot_parts(src, buckets) if layout == "dist" else src
+        timings[f"salt_{layout}"] = round(time.perf_counter() - t0, 3)
+        loads = load_tables(tabs.as_dict(), f"ssb_{layout}", layout, DIST_LAYOUT, buckets=buckets,
                             location=f"{scratch}/ssb_{layout}")
         for name, sec in loads:
             timings[f"load_{name}_{layout}"] = sec
         layouts[layout] = SsbTables(**{n: spark.table(f"ssb_{layout}.{n}") for n in SsbTables.NAMES})
+
+    # ---- bulk loads of delimited gz files, split and single: rows a second ----
+    lines = t.lineitem
+    rows = lines.count()
+    bulk = {}
+    for name, parts in (("split", 4 * cpus), ("single", 1)):
+        path = f"{scratch}/bulk_{name}"
+        lines.repartition(parts).write.option("sep", ";").option("compression", "gzip").csv(path)
+        samples = []
+        for _ in range(3):
+            t0 = time.perf_counter()
+            bulk_load(spark, path, lines.schema).write.mode("overwrite").parquet(f"{path}_table")
+            samples.append(time.perf_counter() - t0)
+        timings[f"bulk_load_{name}"] = round(min(samples), 3)
+        bulk[name] = round(rows / min(samples))
     timed("load_star", lambda: write_star(build_star(t), f"{scratch}/star"))
     star = read_star(spark, f"{scratch}/star")
 
@@ -117,6 +136,7 @@ def main() -> None:
         "unit": "sec",
         "queries": medians,
         "loads": timings,
+        "bulk_load_rows_per_sec": bulk,
         "layout_gain_pct": layout_gain,
         "all_keys": all_keys,
         "all_keys_total": round(sum(all_keys.values()), 3),

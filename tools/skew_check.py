@@ -3,7 +3,7 @@
     python tools/skew_check.py [--sf /root/testdata/sf0.1]
 
 Makes one user own a third of the events, then runs (a) the plain per-user
-window and (b) ``running_sum`` (per-(user, hour) windows + chunk offsets),
+window and (b) ``running_sum`` (hot timelines cut at time quantiles),
 and reports the largest and median shuffle-read record count per task of each
 job, read from the event log written to a scratch folder.
 """
@@ -80,8 +80,10 @@ def main() -> None:
     sc.setJobGroup("plain", "plain window")
     plain = flagged.withColumn("phase", F.sum("flagged").over(w))
     plain.write.format("noop").mode("overwrite").save()
+    # the bound below which no user is hot is scaled down to this data size
+    sc.setJobGroup("chunked_counts", "users counted, hot timelines cut")
+    chunked = flag_phase(hot, "user_id", "ts", F.col("event_type") == "purchase", fewest_hot=5000)
     sc.setJobGroup("chunked", "running_sum")
-    chunked = flag_phase(hot, "user_id", "ts", F.col("event_type") == "purchase")
     chunked.write.format("noop").mode("overwrite").save()
     sc.setJobGroup("compare", "equality check")
     same = plain.select("event_id", "phase").exceptAll(chunked.select("event_id", "phase")).count() == 0
@@ -94,13 +96,9 @@ def main() -> None:
     hot_row = F.col("l_partkey") % 3 == 0
     li = (li.withColumn("l_orderkey", F.when(hot_row, F.lit(-1)).otherwise(F.col("l_orderkey")))
             .withColumn("l_linenumber", F.when(hot_row, F.lit(1)).otherwise(F.col("l_linenumber"))))
-    key, order = ["l_orderkey", "l_linenumber"], ["l_shipdate", "l_partkey", "l_suppkey"]
-    rest = [c for c in li.columns if c not in key and c not in order]
-    sc.setJobGroup("upsert_window", "row_number per key")
-    rn = Window.partitionBy(*key).orderBy(*[F.desc(c) for c in order + rest])
-    li.withColumn("rn", F.row_number().over(rn)).filter("rn = 1").write.format("noop").mode("overwrite").save()
-    sc.setJobGroup("upsert", "max of row struct")
-    upsert(li, key, order).write.format("noop").mode("overwrite").save()
+    sc.setJobGroup("upsert", "row number cut before the shuffle")
+    upsert(li, ["l_orderkey", "l_linenumber"], ["l_shipdate", "l_partkey", "l_suppkey"]).write.format(
+        "noop").mode("overwrite").save()
 
     # fact ⋈ dimension on the hot user, shuffled (no broadcast): AQE skew join
     # splits the hot partition. Thresholds are scaled down to this data size;
@@ -127,7 +125,7 @@ def main() -> None:
 
     reads = task_reads(log_dir)
     print(f"rows={total} hot_user_rows={(total + 2) // 3} results_equal={same}")
-    for group in ("plain", "chunked", "upsert_window", "upsert", "join_skew_split_off", "join_skew_split_on"):
+    for group in ("plain", "chunked", "upsert", "join_skew_split_off", "join_skew_split_on"):
         r = reads.get(group, [])
         if r:
             print(f"{group}: shuffle-reading tasks={len(r)} max_records_per_task={max(r)} "
