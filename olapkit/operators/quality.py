@@ -41,24 +41,23 @@ def fk_orphans(relations: Sequence[ForeignKey]) -> DataFrame:
     """Child rows whose (non-NULL) reference has no parent, counted per
     relation (O-DQ2).
 
-    Per relation the child keys are counted first (partial aggregation before
-    the shuffle, so a hot key ships one row per input partition), then joined
-    with the parent's distinct keys; the planner broadcasts a parent whose
-    size it has checked, and a large one shuffles on its key. Keys of
-    different types are compared in the common type of their own relation.
-    Every relation is reported, also with 0 orphans.
+    Per relation the child's key column alone is anti-joined with the
+    parent's: a parent whose size the planner has checked is broadcast, and
+    the child is not shuffled; a large parent shuffles with the child's keys,
+    where adaptive execution splits a hot key. Keys of different types are
+    compared in the common type of their own relation. Every relation is
+    reported, also with 0 orphans.
     """
     parts = []
     for r in relations:
         common = _common_type(r.child.schema[r.fk].dataType, r.parent.schema[r.pk].dataType)
         key = lambda name: F.col(name).cast(common) if common else F.col(name)  # noqa: E731,B023
-        counts = r.child.select(key(r.fk).alias("_k")).where(F.col("_k").isNotNull()).groupBy("_k").agg(
-            F.count(F.lit(1)).alias("_n"))
-        keys = r.parent.select(key(r.pk).alias("_k")).distinct().withColumn("_hit", F.lit(True))
-        missing = counts.join(keys, "_k", "left").where(F.col("_hit").isNull())
-        parts.append(missing.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("orphans"))
-                     .select(F.lit(r.name).alias("relation"), "orphans"))
-    return _union(parts)
+        child = r.child.select(key(r.fk).alias("_k")).where(F.col("_k").isNotNull())
+        missing = child.join(r.parent.select(key(r.pk).alias("_k")), "_k", "left_anti")
+        parts.append(missing.select(F.lit(r.name).alias("relation")))
+    counts = _union(parts).groupBy("relation").agg(F.count(F.lit(1)).alias("_n"))
+    names = relations[0].child.sparkSession.createDataFrame([(r.name,) for r in relations], "relation string")
+    return names.join(counts, "relation", "left").select("relation", F.coalesce("_n", F.lit(0)).alias("orphans"))
 
 
 def _union(frames: Sequence[DataFrame]) -> DataFrame:
