@@ -189,7 +189,7 @@ def _near_pairs(buckets: DataFrame) -> DataFrame:
     y = small.select("shingle", F.col("node").alias("y"), F.col("n").alias("yn"))
     pairs = x.join(y, "shingle").where(F.col("x") < F.col("y")).where(_fits()).groupBy("x", "y", "xn", "yn").agg(
         F.count("*").alias("common"))
-    suffix = lambda c: F.floor(F.col(c) * 4 / 5 + F.lit(0.8)) - 1  # noqa: E731  ceil(0.8 n) - 1
+    suffix = lambda c: F.floor((4 * F.col(c) + 4) / 5) - 1  # noqa: E731  ceil(0.8 n) - 1
     need = F.ceil(4 * (F.col("xn") + F.col("yn")) / 9) - F.greatest(suffix("xn"), suffix("yn"))
     pairs = pairs.withColumn("missing", need - F.col("common"))
     sure = pairs.where("missing <= 0").select("x", "y")
@@ -246,7 +246,8 @@ def _overlaps(pairs: DataFrame, fragments: DataFrame) -> DataFrame:
     rows = pairs.withColumn("fragment", F.explode(F.array(*[F.lit(k) for k in range(FRAGMENTS)])))
     left = fragments.select(F.col("node").alias("x"), "fragment", F.col("codes").alias("xs"))
     right = fragments.select(F.col("node").alias("y"), "fragment", F.col("codes").alias("ys"))
-    part = rows.join(left, ["x", "fragment"]).join(right, ["y", "fragment"]).select(
+    # merge joins: the planner knows the pairs' size on disk, not that of their eight fragments each
+    part = rows.hint("merge").join(left, ["x", "fragment"]).join(right.hint("merge"), ["y", "fragment"]).select(
         "x", "y", "fragment", F.size(F.array_intersect("xs", "ys")).cast("long").alias("part"))
     return part.groupBy("x", "y", "fragment").agg(F.max("part").alias("part")).groupBy("x", "y").agg(
         F.sum("part").alias("common"))
