@@ -1,4 +1,7 @@
-"""Tiny tables with rows from the exercises (FIXTURES.md part A)."""
+"""Tiny tables with known answers (FIXTURES.md part A).
+
+The rows of the tables below and the answers expected of them are fixed values.
+"""
 
 import os
 
