@@ -48,7 +48,8 @@ SLOT_BITS, BLOCK_BITS = 22, 12
 FREQUENT_MEANS, FREQUENT_MORE = 8, 64
 #: Members of a hub that meet its set in one task.
 GROUP = 256
-#: Bits of the filter of wanted documents (fixed; when it is full it lets all pass, and the join decides).
+#: Bits of the filter of wanted documents (fixed; when it is full it lets all pass, and the join decides). Its table of
+#: 2^18 words at most is broadcast.
 FILTER_BITS = 23
 
 
@@ -200,27 +201,22 @@ def _near_pairs(buckets: DataFrame) -> DataFrame:
     return sure.unionByName(more)
 
 
-def _filter(ids: DataFrame) -> np.ndarray:
-    """A bit for each wanted id, by hash; 1 MB whatever the number of ids."""
-    words = ids.select(F.pmod(F.xxhash64("doc_id"), F.lit(1 << FILTER_BITS)).alias("bit")).select(
-        F.expr("bit div 32").alias("word"), F.expr("shiftleft(1L, cast(bit % 32 AS int))").alias("mask"))
-    bits = np.zeros(1 << (FILTER_BITS - 5), np.int64)
-    got = words.groupBy("word").agg(F.bit_or("mask").alias("mask")).toPandas()
-    bits[got["word"].to_numpy(np.int64)] = got["mask"].to_numpy(np.int64)
-    return np.unpackbits(bits.astype("<u4").view(np.uint8), bitorder="little")
+def _bit() -> Column:
+    return F.pmod(F.xxhash64("doc_id"), F.lit(1 << FILTER_BITS))
 
 
-def _fragments(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """(node, fragment, codes): the sets of wanted nodes, cut into hash ranges. Texts pass a fixed filter of ids before
-    they meet ``wanted`` (node, doc_id, digest) in a join; a row of the same id with another text is no member."""
-    bits = docs.sparkSession.sparkContext.broadcast(_filter(wanted))
+def _filter(ids: DataFrame) -> DataFrame:
+    """(word, mask): a bit for each wanted id, by hash; at most 2^(FILTER_BITS - 5) rows whatever the number of ids."""
+    bits = ids.select(_bit().alias("bit")).selectExpr("bit div 32 AS word", "shiftleft(1L, cast(bit % 32 AS int)) AS mask")
+    return bits.groupBy("word").agg(F.bit_or("mask").alias("mask"))
 
-    def pick(batches):
-        for b in batches:
-            yield b.filter(pa.array(bits.value[b.column(2).to_numpy()] == 1)).drop_columns(["bit"])
 
-    hashed = docs.where("doc_id IS NOT NULL").withColumn("bit", F.pmod(F.xxhash64("doc_id"), F.lit(1 << FILTER_BITS)))
-    likely = hashed.mapInArrow(pick, "doc_id long, text string")
+def _fragments(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
+    """(node, fragment, codes): the sets of wanted nodes, cut into hash ranges. Texts pass a filter of fixed size before
+    they meet ``wanted`` (node, doc_id, digest) in a join; a row of the same id with another text is no member."""
+    hashed = docs.where("doc_id IS NOT NULL").withColumn("bit", _bit()).withColumn("word", F.expr("bit div 32"))
+    likely = hashed.join(F.broadcast(_filter(wanted)), "word").where(
+        "mask & shiftleft(1L, cast(bit % 32 AS int)) <> 0").select("doc_id", "text")
 
     def cut(batches):
         edges = (np.arange(1, FRAGMENTS, dtype=np.uint64) << np.uint64(64 - FRAGMENTS.bit_length() + 1))
