@@ -480,6 +480,37 @@ def test_cross_entropy_difference(frame, spark, shares):
     assert lm_score.score(frame([]), other, none).count() == 0
 
 
+def lm_case(frame, spark, long, texts, other):
+    """Scores of short texts beside one long text of the background, and what brute force gives."""
+    docs = frame(list(enumerate(texts)))
+    background = spark.createDataFrame([(t,) for t in [*texts, long]], "text string")
+    target = spark.createDataFrame([(t,) for t in other], "text string")
+    got = {r.doc_id: r for r in lm_score.score(docs, target, background).collect()}
+    return [(got[k].target_loss, got[k].background_loss) for k in range(len(texts))], \
+        brute_losses(texts, other, [*texts, long], 0, 0)
+
+
+def test_rare_words_count_in_a_large_corpus(frame, spark):
+    # a word of one or two occurrences has less than 5e-5 of 60,000 words
+    got, want = lm_case(frame, spark, "w " * 60_000, ["rare w words", "w w rare", "else", ""], ["rare words rare", "w of"])
+    assert got == [pytest.approx(x) for x in want]
+
+
+def test_chunks_and_buckets_do_not_change_scores(frame, spark, monkeypatch):
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice(["the", "the", f"w{rng.randint(0, 40)}"]) for _ in range(rng.randint(0, 30)))
+             for _ in range(60)]
+    docs, other = frame(list(enumerate(texts))), spark.createDataFrame([(t,) for t in texts[:9]], "text string")
+    want = brute_losses(texts, texts[:9], texts, 0, 0)
+    for held in (1 << 20, 16):
+        monkeypatch.setattr(lm_score, "HELD", held)
+        got = {r.doc_id: r for r in lm_score.score(docs, other).collect()}
+        assert len(got) == 60
+        for k, (t, b) in enumerate(want):
+            assert got[k].target_loss == pytest.approx(t) and got[k].background_loss == pytest.approx(b)
+            assert got[k].n_tokens == len(words(texts[k]))
+
+
 # search
 
 def test_topk_equals_sql(spark):
