@@ -39,8 +39,8 @@ from .common import stored
 from .hashing import mix, text_words
 
 DISCOUNT, HELD = 0.75, 1 << 20
-#: Words and bigrams under these shares are left out: no word is.
-WORD_SHARE, BIGRAM_SHARE = 0.0, 2e-6
+#: Words and bigrams left out unless the caller says otherwise: none.
+WORD_SHARE, BIGRAM_SHARE = 0.0, 0.0
 #: Hashes of the start mark and of the unknown word.
 START, OTHER = 0, 1
 #: What a chunk is: counted for a model, or documents to be scored (which can be the background too).

@@ -511,6 +511,12 @@ def test_chunks_and_buckets_do_not_change_scores(frame, spark, monkeypatch):
             assert got[k].n_tokens == len(words(texts[k]))
 
 
+def test_rare_bigrams_count_in_a_large_corpus(frame, spark):
+    # a bigram of one occurrence has less than 2e-6 of 1,200,000 bigrams
+    got, want = lm_case(frame, spark, "w x " * 600_000, ["x x w w", "w a x", "a a"], ["x w a", "w w"])
+    assert got == [pytest.approx(x) for x in want]
+
+
 # search
 
 def test_topk_equals_sql(spark):
