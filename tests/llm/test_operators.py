@@ -233,6 +233,35 @@ def test_contexts_find_unseen_identifiers(frame):
     assert pii.report(frame([])).count() == 0
 
 
+def test_contexts_at_places_equal_the_lexical_ones(monkeypatch):
+    rng = random.Random(8)
+    texts = ["", "x", " \n", *("".join(rng.choice(["ab", "_c", "9", "=", " ", "\n ", ":", "é", "中", "🎉", "\u3000"])
+                                  for _ in range(rng.randint(0, 90))) for _ in range(80))]
+    want = collections.Counter()
+    for k, t in enumerate(texts):
+        token = [m.span() for m in pii._LEX.finditer(t)]
+        for at in range(1, len(t)):
+            done = [s for s, e in token if e <= at]
+            if not any(s < at < e for s, e in token):
+                want.update((k, at, pii.context_hash(t[done[-n]:at])) for n in (2, 3)
+                            if len(done) >= n and at - done[-n] <= pii.LEFT)
+    bits = np.full(1 << pii.FILTER_BITS - 3, 255, np.uint8)
+    for piece in (1 << 17, 64, 3):
+        monkeypatch.setattr(pii, "PIECE", piece)
+        assert collections.Counter(pii._hits(texts, bits)) == want
+
+
+def test_rare_contexts_are_found_beside_many_seeds(frame):
+    # 140,000 seeds of other contexts: a ten-thousandth of them is more than the six of this one
+    ips = [" ".join(f"node at 10.{k % 250}.{j // 250}.{j % 250}" for j in range(2000)) for k in range(70)]
+    own = pii_rows()[:9]
+    rows = list(enumerate([*own, *ips]))
+    by = {r.doc_id: r for r in pii.report(frame(rows)).collect()}
+    for k, t in enumerate(own):
+        at = t.index("password=") + 9
+        assert by[k].spans == f"{'secret' if k % 3 else 'context'}:{at}:{t.index(' ', at)}"
+
+
 # tokens and packing
 
 def test_token_ids_equal_the_tokenizers_library(monkeypatch):
