@@ -39,12 +39,12 @@ def _hot_bounds(df: DataFrame, by: list[str], ts: str, fewest: int) -> DataFrame
     spark = df.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
-    share = F.greatest(F.lit(fewest), F.sum("_n").over(Window.partitionBy()) / parts)
-    hot = counts.withColumn("_share", share).where(F.col("_n") > F.col("_share")).collect()
+    share = max(fewest, df.count() / parts)
+    hot = counts.where(F.col("_n") > share).collect()
     if not hot:
         return None
     keys = spark.createDataFrame([tuple(r[c] for c in by) for r in hot], df.select(*by).schema)
-    pieces = max(int(2 * r["_n"] / r["_share"]) + 1 for r in hot)
+    pieces = max(int(2 * r["_n"] / share) + 1 for r in hot)
     times = F.unix_micros(F.col(ts).cast("timestamp"))
     same = [F.col(f"_e.{c}").eqNullSafe(F.col(f"_h.{c}")) for c in by]
     own = df.select(*by, times.alias("_t")).alias("_e").join(F.broadcast(keys.alias("_h")), same).select(

@@ -115,3 +115,14 @@ def test_access_log_from_gz_text_file(spark, tmp_dir):
     assert res.parsed.count() == 2 and res.rejected.count() == len(LINES) - 2
     top = res.parsed.groupBy("host").count().orderBy(F.desc("count"), "host").first()
     assert top["host"] == "199.120.110.21"
+
+
+def test_hot_users_are_found_without_a_window(spark, monkeypatch):
+    from olapkit.operators import events
+
+    df = spark.range(2000).select(F.when(F.col("id") < 1500, 1).otherwise(F.col("id")).alias("user"),
+                                  F.timestamp_seconds("id").alias("ts"))
+    monkeypatch.setattr(events, "Window", None)
+    assert [r.user for r in events._hot_bounds(df, ["user"], "ts", 100).collect()] == [1]
+    assert events._hot_bounds(df.where("user > 1"), ["user"], "ts", 100) is None
+    assert events._hot_bounds(df.where("user < 0"), ["user"], "ts", 100) is None
