@@ -37,8 +37,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import stored
+from .common import WORD, stored
 from .components import components
 from .hashing import shingles, text_words
 
@@ -339,12 +340,17 @@ def links(docs: DataFrame, n: int = WORDS) -> tuple[DataFrame, DataFrame]:
     return classes, first.unionByName(second).distinct()
 
 
-def labelled(docs: DataFrame, n: int = WORDS) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for every row of (doc_id long, text)."""
+def _placed(docs: DataFrame, n: int) -> DataFrame:
+    """(node, digest, first_id, n, component): every class of (doc_id long, text) and its component."""
     classes, found = links(docs, n)
     part = components(found.select(F.col("x").alias("u"), F.col("y").alias("v")))
-    own = classes.select("node", "digest", "first_id").join(part, "node", "left").withColumn(
+    return classes.select("node", "digest", "first_id", "n").join(part, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
+
+
+def labelled(docs: DataFrame, n: int = WORDS) -> DataFrame:
+    """(doc_id, n_shingles, component_id) for every row of (doc_id long, text)."""
+    own = _placed(docs, n)
     least = own.groupBy("component").agg(F.min("first_id").alias("component_id"))
     label = stored(own.join(least, "component").select("digest", "component_id"), "join-labels")
     known = _digests(docs, n)
@@ -357,12 +363,41 @@ def report(docs: DataFrame) -> DataFrame:
     return labelled(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
 
 
+def _with_digests(docs: DataFrame, name: str, n: int) -> DataFrame:
+    """``docs`` with the digest of each text's set as another column."""
+    at = docs.columns.index("text")
+
+    def run(batches):
+        for b in batches:
+            digest = [None] * len(b)
+            for row, s in _sets(b, at, n):
+                digest[row] = _digest(s)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(digest, pa.binary())], [*b.schema.names, name])
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.BinaryType())]))
+
+
 def distinct_documents(docs: DataFrame) -> DataFrame:
-    """One row of each component, the one with the smallest id, with the columns of ``docs``. Rows with a null id stay."""
-    first = report(docs).where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id")
-    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.length("row.text"), F.md5("row.text")))
-    kept = rows.where("doc_id IS NOT NULL").join(first, F.col("doc_id") == F.col("kept_id"), "left_semi")
-    kept = kept.withColumn("nth", nth).where("nth = 1").select("row")
-    kept = kept.unionByName(rows.where("doc_id IS NULL").select("row"))
+    """One row of each component, with the columns of ``docs``: of the smallest id, and where that id has several texts
+    in the component, of the smallest set, then the shortest text. A text without words is kept once per id and text.
+    Rows with a null id stay."""
+    name = "digest"
+    while name in docs.columns:
+        name += "_"
+    known = docs.where("doc_id IS NOT NULL")
+    some = F.coalesce("text", F.lit("")).rlike(WORD)
+    placed = _placed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), WORDS)
+    first = placed.groupBy("component").agg(F.min(F.struct("first_id", "n", "digest")).alias("first")).select(
+        F.col("first.first_id").alias("kept_id"), F.col("first.digest").alias("kept_digest"))
+    full = _with_digests(known.where(some), name, WORDS)
+    full = full.join(first, (F.col("doc_id") == F.col("kept_id")) & (F.col(name) == F.col("kept_digest")), "left_semi")
+
+    def one(df: DataFrame, *by: Column) -> DataFrame:
+        rows = df.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *by)
+        w = Window.partitionBy(*rows.columns[1:]).orderBy(F.length("row.text"), F.md5("row.text"))
+        return rows.withColumn("nth", F.row_number().over(w)).where("nth = 1").select("row")
+
+    kept = one(full, F.col("doc_id"), F.col(f"`{name}`")).unionByName(
+        one(known.where(~some), F.col("doc_id"), F.col("text"))).unionByName(
+        docs.where("doc_id IS NULL").select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")))
     return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -162,6 +162,15 @@ def test_ngram_join_keeps_one_of_a_group(frame):
     assert ngram_join.report(frame([(1, None)])).collect()[0].component_id == 1
 
 
+def test_ngram_join_keeps_one_row_of_each_component(frame):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(40)) for x in "abc")
+    rows = [(3, None), (3, a), (3, a), (3, b), (3, ""), (3, ""), (4, b + " end"), (1, c), (5, c + " end"), (5, a + " end"),
+            (6, "A" + a[1:]), (None, c)]
+    kept = ngram_join.distinct_documents(frame(rows))
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(
+        [(3, None), (3, a), (3, b), (3, ""), (1, c), (None, c)], key=str)
+
+
 def test_prefix_length():
     for n in range(1, 200):
         assert ngram_join.prefix_length(n) == n - math.ceil(8 * n / 10) + 1
