@@ -20,7 +20,8 @@ A document is its set of five-word shingles (64-bit hashes). Two documents link
    whole prefixes would meet in all pairs.
 6. Links give components by alternating stars; labels go back to the documents by their digest.
 
-No link between different sets is lost, there are no caps, and a group of n near copies costs about n rows, not n^2.
+``links`` gives enough links for the components of all links, not all of them: two members that are both linked to a hub
+are not compared. No component is lost, there are no caps, and a group of n near copies costs about n rows, not n^2.
 
 Defined results: null and empty texts, and texts without words, have an empty set and link with nothing; they are their
 own component. Rows with a null id take no part in links and have a null component. Repeated rows are copies of each
@@ -313,8 +314,8 @@ def _difference_pairs(members: DataFrame, fragments: DataFrame, levels) -> DataF
 
 
 def links(docs: DataFrame, n: int = WORDS) -> tuple[DataFrame, DataFrame]:
-    """(classes, links): the nodes with their digest and smallest id, and verified links (x, y) between nodes that give
-    the components of all links. ``docs``: (doc_id long, text)."""
+    """(classes, links): the nodes with their digest and smallest id, and verified links (x, y) between nodes: not all
+    of them, but enough to give the components of all links. ``docs``: (doc_id long, text)."""
     sc = docs.sparkSession.sparkContext
     known = docs.where("doc_id IS NOT NULL")
     levels, mean = _sketch(known.select("text"), n)
