@@ -150,8 +150,9 @@ def op2_sql() -> str:
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
 w AS (SELECT rid, doc_id, text, list_filter(regexp_split_to_array(text, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws,
              list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS ls FROM d),
-g AS (SELECT rid, unnest(range(len(ws) - 2)) AS i, ws FROM w WHERE len(ws) >= 3),
-t AS (SELECT rid, i, count(*) OVER (PARTITION BY rid, ws[i + 1], ws[i + 2], ws[i + 3]) AS c FROM g),
+o AS (SELECT rid, unnest(range(len(ws))) AS i, unnest(ws) AS x FROM w),
+g AS (SELECT rid, i, x, lead(x) OVER (PARTITION BY rid ORDER BY i) AS y, lead(x, 2) OVER (PARTITION BY rid ORDER BY i) AS z FROM o),
+t AS (SELECT rid, i, count(*) OVER (PARTITION BY rid, x, y, z) AS c FROM g WHERE z IS NOT NULL),
 r AS (SELECT rid, count(DISTINCT p) AS n FROM (SELECT rid, unnest([i, i + 1, i + 2]) AS p FROM t WHERE c >= 2) GROUP BY rid),
 m AS (SELECT doc_id, len(ws)::BIGINT AS n_words, length(regexp_replace(text, '[\\x20\\x09-\\x0D]', '', 'g'))::BIGINT AS word_chars,
              (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
