@@ -7,7 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import lm_score, mixing, ngram_join, packing, pii, quality_knn, quality_rules, topk, toxicity, warc
+from . import (licences, lm_score, mixing, ngram_join, packing, pii, quality_knn, quality_rules, topk, toxicity,
+               warc)
 from .common import ship
 
 
@@ -72,6 +73,11 @@ def op9_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.report(_table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op13_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and texts in all documents, by a suffix automaton's matching statistics."""
+    return licences.report(_table(spark, sf_dir, "documents"))
+
+
 def _registered(job: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @functools.wraps(job)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,7 +89,7 @@ def _registered(job: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spar
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: _registered(f) for f in (
     op1_toxicity, op2_quality_rules, op3_archive_converter, op4_nra_topk, op5_contextual_pii, op6_quality_neighbours,
-    op7_ngram_jaccard, op8_cross_entropy_difference, op9_vector_packing, op10_source_mix)}
+    op7_ngram_jaccard, op8_cross_entropy_difference, op9_vector_packing, op10_source_mix, op13_licence_scan)}
 
 ORACLE_SQL: dict[str, str] = {"op2_quality_rules": quality_rules.op2_sql(), "op3_archive_converter": warc.OP3_SQL,
                               "op4_nra_topk": topk.OP4_SQL, "op10_source_mix": mixing.OP10_SQL}
