@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (licences, lm_score, mixing, ngram_join, packing, pii, quality_knn, quality_rules, topk, toxicity,
+from . import (alignment, licences, lm_score, mixing, ngram_join, packing, pii, quality_knn, quality_rules, topk, toxicity,
                warc)
 from .common import ship
 
@@ -16,11 +16,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def vocabulary() -> str:
-    """The tokenizer file of the installed package of public vocabularies."""
+def vocabulary(name: str = "byte_bpe_50k.json") -> str:
+    """A tokenizer file of the installed package of public vocabularies."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,6 +73,11 @@ def op9_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.report(_table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of two vocabularies aligned in all documents, with corpus-wide counts of linked ids."""
+    return alignment.report(_table(spark, sf_dir, "documents"), vocabulary(), vocabulary("piece_bpe_32k.model"))
+
+
 def op13_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence phrases and texts in all documents, by a suffix automaton's matching statistics."""
     return licences.report(_table(spark, sf_dir, "documents"))
@@ -89,7 +94,8 @@ def _registered(job: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spar
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: _registered(f) for f in (
     op1_toxicity, op2_quality_rules, op3_archive_converter, op4_nra_topk, op5_contextual_pii, op6_quality_neighbours,
-    op7_ngram_jaccard, op8_cross_entropy_difference, op9_vector_packing, op10_source_mix, op13_licence_scan)}
+    op7_ngram_jaccard, op8_cross_entropy_difference, op9_vector_packing, op10_source_mix, op12_token_alignment,
+    op13_licence_scan)}
 
 ORACLE_SQL: dict[str, str] = {"op2_quality_rules": quality_rules.op2_sql(), "op3_archive_converter": warc.OP3_SQL,
                               "op4_nra_topk": topk.OP4_SQL, "op10_source_mix": mixing.OP10_SQL}
