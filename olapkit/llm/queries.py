@@ -7,8 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (alignment, licences, lm_score, mixing, ngram_join, packing, pii, quality_knn, quality_rules, topk, toxicity,
-               warc)
+from . import (alignment, collocations, licences, lm_score, mixing, ngram_join, packing, pii, quality_knn,
+               quality_rules, topk, toxicity, warc)
 from .common import ship
 
 
@@ -73,6 +73,11 @@ def op9_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.report(_table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Phrase collocations of all documents per language, counted in counting quotient filters."""
+    return collocations.report(_table(spark, sf_dir, "documents"))
+
+
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of two vocabularies aligned in all documents, with corpus-wide counts of linked ids."""
     return alignment.report(_table(spark, sf_dir, "documents"), vocabulary(), vocabulary("piece_bpe_32k.model"))
@@ -94,8 +99,9 @@ def _registered(job: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spar
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: _registered(f) for f in (
     op1_toxicity, op2_quality_rules, op3_archive_converter, op4_nra_topk, op5_contextual_pii, op6_quality_neighbours,
-    op7_ngram_jaccard, op8_cross_entropy_difference, op9_vector_packing, op10_source_mix, op12_token_alignment,
-    op13_licence_scan)}
+    op7_ngram_jaccard, op8_cross_entropy_difference, op9_vector_packing, op10_source_mix, op11_collocations,
+    op12_token_alignment, op13_licence_scan)}
 
 ORACLE_SQL: dict[str, str] = {"op2_quality_rules": quality_rules.op2_sql(), "op3_archive_converter": warc.OP3_SQL,
-                              "op4_nra_topk": topk.OP4_SQL, "op10_source_mix": mixing.OP10_SQL}
+                              "op4_nra_topk": topk.OP4_SQL, "op10_source_mix": mixing.OP10_SQL,
+                              "op11_collocations": collocations.op11_sql()}

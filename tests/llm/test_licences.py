@@ -66,8 +66,15 @@ def check(df, rows, templates):
             assert r.labels == ",".join(sorted(base | {s[0] for s in spans}))
 
 
-def test_licences_against_brute_force(frame, monkeypatch):
-    monkeypatch.setattr(licences, "SLICE", 64)
+def test_slices_keep_words(monkeypatch):
+    monkeypatch.setattr(licences, "SLICE", 8)
+    for t in ["", "abc", "x" * 30 + " y", "Some words, é中文 and_more -- of 12.5 them " * 9, "no" * 40]:
+        parts = list(licences._slices(t))
+        assert "".join(parts) == t and [w for p in parts for w in licences.words(p)] == licences.words(t)
+    assert len(parts) == 1 and len(list(licences._slices("a b " * 99))) > 20
+
+
+def test_licences_against_brute_force(frame):
     rng = random.Random(13)
     full = [t for _, t in licences.TEMPLATES]
     rows = [(k, t) for k, t in enumerate([None, "", " \n.,- ", "one", "mit license", "The MIT\n License; é中文 GPL_License",
