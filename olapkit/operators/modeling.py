@@ -70,7 +70,8 @@ def extract_dimension(df: DataFrame, attr: str, id_col: str, name_col: str | Non
 
     Ids follow the value order, or with ``first_seen_by`` the order in which
     values first appear along that column (``SERIAL`` assigned at insert
-    time); the value breaks ties.
+    time); the value breaks ties. NULL is a value like others: it gets an id,
+    and its rows keep it.
     """
     name_col = name_col or attr
     if first_seen_by:
@@ -81,7 +82,9 @@ def extract_dimension(df: DataFrame, attr: str, id_col: str, name_col: str | Non
         values = df.select(F.col(attr).alias(name_col)).distinct()
         order = [name_col]
     dim = add_surrogate_key(values, order, id_col).select(id_col, name_col)
-    slim = (df.join(dim.select(F.col(name_col).alias(attr), id_col), attr).drop(attr))
+    # NULL is a value of its own with an id: null-safe, or its rows would vanish
+    keyed = dim.select(F.col(name_col).alias("_value"), id_col)
+    slim = df.join(keyed, F.col(attr).eqNullSafe(F.col("_value"))).drop(attr, "_value")
     return dim, slim
 
 

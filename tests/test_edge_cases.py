@@ -179,3 +179,13 @@ def test_hot_parts_are_salted(spark):
     assert salted.lineorder.where("lo_partkey = 1").select("lo_salt").distinct().count() == 16
     for name in ssb.SSB_QUERIES:
         assert rows_of(ssb.run_ssb(spark, plain, name)) == rows_of(ssb.run_ssb(spark, salted, name))
+
+
+def test_3nf_keeps_rows_with_null_attributes(spark):
+    from olapkit.operators.modeling import extract_dimension
+
+    df = spark.createDataFrame([(1, "a"), (2, None), (3, None), (4, "b")], "id int, city string")
+    for by in (None, "id"):
+        dim, slim = extract_dimension(df, "city", "city_id", first_seen_by=by)
+        assert slim.columns == ["id", "city_id"] and slim.count() == 4
+        assert rows_of(slim.join(dim, "city_id").select("id", "city")) == [(1, "a"), (2, None), (3, None), (4, "b")]
