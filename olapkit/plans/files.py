@@ -3,13 +3,17 @@ format and read back by its reader, file and column listings, literals."""
 
 from __future__ import annotations
 
+import functools
+import uuid
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from ..sources.readers import (Tables, bulk_load, bulk_load_checked, describe_columns, list_files, read_csv,
                                read_events_json, read_log_lines, register, rows)
-from ..sources.stored import stored
-from ..sources.writers import write_csv
+from ..sources.stored import manifest, manifest_changes, stored
+from ..sources.writers import load_tables, write_csv
 from .registry import query
 
 
@@ -61,7 +65,7 @@ def bulk_load_parts(t: Tables):
 
 @query("bulk_load_single", "SELECT * FROM supplier")
 def bulk_load_single(t: Tables):
-    """One gz file, which cannot be split, spread after reading (O-S5)."""
+    """One gz file, which cannot be split: one task decompresses, four parse (O-S5)."""
     path = _files(t, "supplier-gz", "supplier", _delimited(1))
     return bulk_load(t.spark, path, t.supplier.schema, min_partitions=4)
 
@@ -82,13 +86,69 @@ def bulk_load_rejects(t: Tables):
                     F.min("line").alias("first_reject"))
 
 
-@query("list_source_files", "SELECT 'orders' AS source, CAST(count(*) > 0 AS BOOLEAN) AS any_rows, true AS listed FROM orders")
+def _order_lines(df, path):
+    """Uncompressed lines of orders in folders by year and a part of the key, one file each."""
+    line = F.concat_ws(";", "o_orderkey", "o_orderstatus")
+    (df.select(F.year("o_orderdate").alias("year"), F.expr("o_orderkey % 4").alias("part"), line.alias("line"))
+     .repartition("year", "part").write.mode("overwrite").partitionBy("year", "part").text(path))
+
+
+@query("list_source_files", """
+SELECT 'year=' || year(o_orderdate) || '/part=' || o_orderkey % 4 AS folder, 1 AS files,
+       CAST(sum(strlen(o_orderkey || ';' || o_orderstatus) + 1) AS BIGINT) AS bytes FROM orders GROUP BY ALL""")
 def list_source_files(t: Tables):
-    """Files under a prefix with size and time, bodies unread (O-S8)."""
-    path = _files(t, "orders-parts", "orders", _delimited(None))
-    found = list_files(t.spark, path, "*.gz")
-    return found.agg((F.sum("length") > 0).alias("any_rows"), (F.count_if(F.col("path").endswith(".csv.gz")) == F.count(
-        F.lit(1))).alias("listed")).select(F.lit("orders").alias("source"), "any_rows", "listed")
+    """Files under a prefix: folder, number and total length as written, bodies unread (O-S8)."""
+    found = list_files(t.spark, _files(t, "order-lines", "orders", _order_lines), "*.txt")
+    folder = F.regexp_extract("path", r"(year=\d+/part=\d+)/[^/]+$", 1).alias("folder")
+    return found.groupBy(folder).agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
+
+
+@query("manifest_changes", """
+SELECT year(o_orderdate)::INTEGER AS year, if(year(o_orderdate) = 1997, 'added,removed', 'added') AS change, count(*) AS lines
+FROM orders WHERE year(o_orderdate) >= 1997 GROUP BY ALL""")
+def manifest_changes_q(t: Tables):
+    """Files that changed between two manifests, per folder, and only the new ones are read (O-S8, O-S10): orders up to
+    1997 are written by year; then 1997 is written again, and the later years are added."""
+    def build():
+        path, kept = scratch_path(t.spark, "orders-by-year"), scratch_path(t.spark, "orders-manifest")
+        lines = t.orders.select(F.year("o_orderdate").alias("year"), F.concat_ws(";", "o_orderkey", "o_custkey").alias("line"))
+
+        def write(df):
+            for (y,) in sorted(df.select("year").distinct().collect()):
+                df.where(F.col("year") == y).select("line").write.mode("overwrite").text(f"{path}/year={y}")
+
+        write(lines.where("year <= 1997"))
+        manifest(t.spark, path).write.parquet(kept)
+        write(lines.where("year >= 1997"))
+        return path, kept
+
+    path, kept = stored("orders-by-year", [t.orders], build)
+    changed = manifest_changes(t.spark.read.parquet(kept), manifest(t.spark, path))
+    year = F.regexp_extract("path", r"year=(\d+)/", 1).cast("int")
+    kinds = F.array_join(F.array_sort(F.collect_set("change")), ",").alias("change")
+    per_year = changed.groupBy(year.alias("year")).agg(kinds)
+    fresh = [r.path for r in changed.where("change <> 'removed'").select("path").collect()]
+    lines = read_log_lines(t.spark, fresh).select(F.col("_metadata.file_path").alias("path"))
+    return lines.groupBy(year.alias("year")).agg(F.count(F.lit(1)).alias("lines")).join(per_year, "year").select(
+        "year", "change", "lines")
+
+
+LOADED = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
+
+
+@query("table_set_load", " UNION ALL ".join(
+    f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {n}" for n in LOADED))
+def table_set_load(t: Tables):
+    """A set of tables bulk-loaded into a database of its own, and the rows of every loaded table (O-S6)."""
+    def build() -> str:
+        db = f"olapkit_load_{uuid.uuid4().hex[:10]}"
+        load_tables({n: t.get(n) for n in LOADED}, db, location=scratch_path(t.spark, db))
+        return db
+
+    db = stored("table-set", [t.get(n) for n in LOADED], build)
+    parts = [t.spark.table(f"{db}.{n}").agg(F.count(F.lit(1)).alias("row_count")).select(
+        F.lit(n).alias("table_name"), "row_count") for n in LOADED]
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
 @query("columns_of", """

@@ -7,13 +7,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.keyed import KeyedTable
 from ..operators.modeling import (add_surrogate_key, denormalize, extract_dimension, lookup,
                                   materialize_for_query, split_entity, to_1nf, upsert)
 from ..operators.star import amount, sales
 from ..session import scratch_path
-from ..sources.readers import Tables
+from ..sources.readers import Tables, sized_count
 from ..sources.stored import stored
-from ..sources.writers import insert_into
+from ..sources.writers import append_batch, insert_into, read_batches
 from .registry import query
 from .sqlbits import SALE, with_ctes
 
@@ -255,6 +256,40 @@ def upsert_latest(t: Tables):
     return upsert(li, ["l_orderkey", "l_linenumber"], _LI_ORDER).select(*li.columns)
 
 
+_MERGED = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate"
+
+
+@query("upsert_incremental", f"""
+SELECT o_orderkey, o_custkey, if(o_orderkey % 50 = 0, 'X', o_orderstatus) AS o_orderstatus,
+       if(o_orderkey % 50 = 0, 0.0, o_totalprice) AS o_totalprice, o_orderdate FROM orders""")
+def upsert_incremental(t: Tables):
+    """A keyed table takes a batch of changes, rewriting only the buckets that hold their keys (O-DM14): every tenth order
+    is missing at first, then comes together with cancellations of every 50th order, each given twice, the later wins."""
+    def build() -> KeyedTable:
+        orders = t.orders.selectExpr(*_MERGED.split(", "))
+        # some 128 MB of input a bucket
+        buckets = sized_count(t.orders, target_bytes=128 << 20)
+        table = KeyedTable(t.spark, scratch_path(t.spark, "orders-keyed"), ["o_orderkey"], buckets)
+        table.merge(orders.where("o_orderkey % 10 <> 3"))
+        cancelled = orders.where("o_orderkey % 50 = 0")
+        price = lambda p: cancelled.withColumns({"o_orderstatus": F.lit("X"), "o_totalprice": F.lit(p)})
+        late = orders.where("o_orderkey % 10 = 3").withColumn("_nth", F.lit(1))
+        changes = late.unionByName(price(9.9).withColumn("_nth", F.lit(1))).unionByName(price(0.0).withColumn("_nth", F.lit(2)))
+        table.merge(upsert(changes, ["o_orderkey"], ["_nth"]).drop("_nth"))
+        return table
+
+    return stored("orders-keyed", [t.orders], build).read().selectExpr(*_MERGED.split(", "))
+
+
+@query("norm_3nf_nulls", """
+SELECT if(o_orderkey % 7 = 0, NULL, o_orderpriority) AS priority, count(*) AS n FROM orders GROUP BY 1""")
+def norm_3nf_nulls(t: Tables):
+    """3NF on an attribute with NULLs: no row is lost, and the join back gives the values again (O-DM3, O-DM4)."""
+    orders = t.orders.select("o_orderkey", F.when(F.col("o_orderkey") % 7 != 0, F.col("o_orderpriority")).alias("priority"))
+    priorities, slim = extract_dimension(orders, "priority", "priority_id")
+    return slim.join(priorities, "priority_id").groupBy("priority").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("surrogate_key", """
 SELECT c_custkey, c_name, row_number() OVER (ORDER BY c_name, c_custkey) AS customer_key FROM customer""")
 def surrogate_key(t: Tables):
@@ -301,3 +336,19 @@ def insert_append(t: Tables):
         return t.spark.read.schema(DAILY_REVENUE).parquet(path)
 
     return stored("daily-ledger", [t.lineitem, t.orders], build)
+
+
+@query("insert_batches", with_ctes(SALE) + f"""
+SELECT *, if(sale_date < DATE '1995-01-01', 'to-1994', 'from-1995') AS batch FROM ({_DAILY_SQL})""")
+def insert_batches(t: Tables):
+    """INSERTs as named batches, each published once: a batch that is given a second time changes nothing (O-K2, O-K3)."""
+    def build() -> str:
+        path, daily = scratch_path(t.spark, "daily-batches"), _daily_revenue(t)
+        early = F.col("sale_date") < "1995-01-01"
+        append_batch(daily.where(early), DAILY_REVENUE, path, "to-1994")
+        for _ in range(2):
+            append_batch(daily.where(~early).select("sale_date", "revenue"), DAILY_REVENUE, path, "from-1995")
+        return path
+
+    path = stored("daily-batches", [t.lineitem, t.orders], build)
+    return read_batches(t.spark, DAILY_REVENUE, path, names=True).withColumnRenamed("_batch", "batch")

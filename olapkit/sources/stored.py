@@ -1,8 +1,10 @@
 """Tables derived once and read often, rebuilt when their inputs change.
 
 ``stored`` keeps what it has built per application, keyed by a name and a
-snapshot of the inputs. The snapshot is taken anew at every call, so
-re-pointed catalog tables or rewritten files never give an old answer.
+snapshot of the inputs: a digest over every file's path, length and time. The
+snapshot is taken anew at every call, so re-pointed catalog tables or
+rewritten files never give an old answer. ``manifest`` gives the same facts as
+rows, for jobs that read only what changed.
 """
 
 from __future__ import annotations
@@ -10,17 +12,25 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
-def root_paths(df: DataFrame) -> list[str]:
-    """The root folders or files that a frame's file scans read (no file listing)."""
+def file_indexes(df: DataFrame) -> list:
+    """The file indexes of a frame's scans: the listings that Spark made when the frame was read."""
     leaves, found = df._jdf.queryExecution().analyzed().collectLeaves(), []
     for i in range(leaves.size()):
         leaf = leaves.apply(i)
         relation = leaf.relation() if leaf.getClass().getSimpleName() == "LogicalRelation" else None
-        if relation is None or not hasattr(relation, "location"):
-            continue
-        paths = relation.location().rootPaths()
+        if relation is not None and hasattr(relation, "location"):
+            found.append(relation.location())
+    return found
+
+
+def root_paths(df: DataFrame) -> list[str]:
+    """The root folders or files that a frame's file scans read (no file listing)."""
+    found = []
+    for index in file_indexes(df):
+        paths = index.rootPaths()
         found += [paths.apply(k).toString() for k in range(paths.size())]
     return sorted(set(found))
 
@@ -41,13 +51,47 @@ def input_bytes(*frames: DataFrame) -> int:
 
 
 def snapshot(frames: Sequence[DataFrame]) -> tuple:
-    """Paths, sizes, file counts and modification times of the frames' inputs."""
-    spark, out = frames[0].sparkSession, []
-    for path in sorted({p for df in frames for p in root_paths(df)}):
-        fs, p = _file(spark, path)
-        s = fs.getContentSummary(p)
-        out.append((path, s.getLength(), s.getFileCount(), fs.getFileStatus(p).getModificationTime()))
-    return tuple(out)
+    """Root paths of the frames' inputs, each with the number of its files and a digest of every file's path, length and
+    time. A listed frame's own file listing is digested inside the JVM, so nothing is listed twice and no file name
+    reaches Python. Partitioned catalog tables, which list lazily, are listed for the purpose.
+
+    A rewrite in place is noticed by the file's time, also of a file of equal length in a nested folder."""
+    spark, out = frames[0].sparkSession, {}
+    jvm = spark._jvm
+    for df in frames:
+        for index in file_indexes(df):
+            roots = index.rootPaths()
+            names = tuple(sorted(roots.apply(k).toString() for k in range(roots.size())))
+            if index.getClass().getSimpleName() == "CatalogFileIndex":
+                index = index.filterPartitions(jvm.org.apache.spark.api.python.PythonUtils.toSeq([]))
+            files = index.allFiles()
+            text = files.mkString("\n")  # a status prints its path, length and times
+            out[names] = (names, files.size(), jvm.org.apache.commons.codec.digest.DigestUtils.sha256Hex(text))
+    return tuple(sorted(out.values()))
+
+
+def manifest(spark: SparkSession, *roots: str) -> DataFrame:
+    """(path, length, modified) of every data file under folders, by Spark's own listing (parallel for many folders).
+    The files' bodies are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(roots))
+    return files.select("path", "length", F.col("modificationTime").alias("modified"))
+
+
+def manifest_digest(files: DataFrame) -> tuple[int, int, int]:
+    """Number of files, bytes, and an order-free digest of a manifest, added up in tasks."""
+    mark = F.xxhash64("path", "length", F.unix_micros("modified")).cast("decimal(38,0)")
+    row = files.agg(F.count(F.lit(1)), F.coalesce(F.sum("length"), F.lit(0)), F.coalesce(F.sum(mark), F.lit(0))).first()
+    return int(row[0]), int(row[1]), int(row[2])
+
+
+def manifest_changes(before: DataFrame, after: DataFrame) -> DataFrame:
+    """(path, change): files that were ``added``, ``removed`` or ``rewritten`` (another length or time) between two
+    manifests. Incremental jobs read the added and rewritten ones."""
+    a, b = before.alias("a"), after.alias("b")
+    change = (F.when(F.col("a.path").isNull(), "added").when(F.col("b.path").isNull(), "removed")
+              .when((F.col("a.length") != F.col("b.length")) | (F.col("a.modified") != F.col("b.modified")), "rewritten"))
+    return a.join(b, F.col("a.path") == F.col("b.path"), "full").select(
+        F.coalesce("a.path", "b.path").alias("path"), change.alias("change")).where("change is not null")
 
 
 _BUILT: dict[tuple, object] = {}

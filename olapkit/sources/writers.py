@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Names of batches, and of folders of writes that are not published.
+BATCH_NAME, ASIDE = re.compile(r"[A-Za-z0-9][A-Za-z0-9.-]*"), "_aside-"
 SAVE_MODES = ("append", "overwrite", "ignore", "error")
 
 
@@ -45,6 +50,75 @@ def insert_into(df: DataFrame, table_schema: T.StructType, path: str, mode: str
     w.parquet(path)
 
 
+def _hadoop(spark: SparkSession, path: str):
+    """The file context of a path and a function that makes its paths."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    context = hadoop.FileContext.getFileContext(hadoop.Path(path).toUri(), spark._jsc.hadoopConfiguration())
+    return context, lambda p: context.makeQualified(hadoop.Path(p))
+
+
+def _move_once(spark: SparkSession, source: str, target: str) -> bool:
+    """Rename a folder unless the target is there; which of the two happened is decided by the file system."""
+    context, at = _hadoop(spark, target)
+    if context.util().exists(at(target)):
+        return False
+    rename = spark._jvm.org.apache.hadoop.fs.Options.Rename
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.NONE
+    try:
+        context.rename(at(source), at(target), options)
+    except Py4JJavaError as e:
+        if "FileAlreadyExistsException" in str(e) or context.util().exists(at(target)):
+            return False
+        raise
+    return True
+
+
+def append_batch(df: DataFrame, table_schema: T.StructType, path: str, batch: str) -> bool:
+    """Append a query result to a declared parquet table as the batch of a name, once (O-K2, O-K3).
+
+    The rows are written aside, in a folder that readers pass over, and published by one rename to ``_batch=<name>``.
+    A batch that is there already is dropped, so a repeated load changes nothing; a killed write leaves no rows (see
+    ``drop_unpublished``). Of two writers of one batch, one wins. The table is a plain partitioned folder, and a later
+    batch rewrites nothing. The file system's rename must be atomic (local, HDFS and like ones); returns whether the
+    batch was added."""
+    if not BATCH_NAME.fullmatch(batch):
+        raise ValueError(f"a batch name has letters, digits and . - only: {batch!r}")
+    spark, target = df.sparkSession, f"{path.rstrip('/')}/_batch={batch}"
+    context, at = _hadoop(spark, path)
+    if context.util().exists(at(target)):
+        return False
+    aside = f"{path.rstrip('/')}/{ASIDE}{uuid.uuid4().hex}"
+    align_to_schema(df, table_schema).write.parquet(aside)
+    if _move_once(spark, aside, target):
+        return True
+    context.delete(at(aside), True)
+    return False
+
+
+def read_batches(spark: SparkSession, table_schema: T.StructType, path: str, names: bool = False) -> DataFrame:
+    """All published rows of a table of batches, with their batch's name as ``_batch`` if asked for. A filter on it
+    prunes folders. A table without batches is empty."""
+    full = T.StructType([*table_schema.fields, T.StructField("_batch", T.StringType())])
+    context, at = _hadoop(spark, path)
+    if not context.util().exists(at(path)):
+        df = spark.createDataFrame([], full)
+    else:
+        df = spark.read.schema(full).option("basePath", path).parquet(f"{path.rstrip('/')}/_batch=*") \
+            if context.util().globStatus(at(f"{path.rstrip('/')}/_batch=*")) else spark.createDataFrame([], full)
+    return df if names else df.drop("_batch")
+
+
+def drop_unpublished(spark: SparkSession, path: str, older_than_s: int = 24 * 3600) -> int:
+    """Remove what killed writes left aside, if it is older than any write that may still run; returns the number."""
+    context, at = _hadoop(spark, path)
+    now, dropped = spark._jvm.java.lang.System.currentTimeMillis(), 0
+    for status in context.util().globStatus(at(f"{path.rstrip('/')}/{ASIDE}*")) or []:
+        if now - status.getModificationTime() >= older_than_s * 1000:
+            dropped += context.delete(status.getPath(), True)
+    return dropped
+
+
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
                   partition_by: Sequence[str] = ()) -> None:
     w = df.write.mode(mode)

@@ -8,8 +8,11 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from olapkit.sources import (align_to_schema, bulk_load, describe_columns, insert_into, list_files, read_csv,
-                             read_events_json, read_log_lines, rows, write_csv, write_layout)
+from olapkit.sources import (Tables, align_to_schema, append_batch, bulk_load, bulk_load_checked, describe_columns,
+                             drop_unpublished, insert_into, list_files, manifest, manifest_changes, manifest_digest,
+                             read_batches, read_csv, read_events_json, read_log_lines, rows, snapshot, write_csv,
+                             write_layout)
+from olapkit.sources.writers import _move_once
 
 from .conftest import plan_text, rows_of
 
@@ -149,3 +152,70 @@ def test_sized_count_follows_input_bytes(spark, tables):
     assert sized_count(li) == par                                   # small input: the parallelism floor
     assert sized_count(li, target_bytes=1024) == min(100_000, max(par, -(-on_disk // 1024)))
     assert sized_count(spark.range(10)) == par                      # no files: floor
+
+
+def test_single_gz_is_parsed_apart(spark, tmp_dir):
+    lines = [f"{i};{i % 7}.25;n{i}" for i in range(30_000)]
+    _write_gz(f"{tmp_dir}/one.csv.gz", lines)
+    schema = "id long, v double, s string"
+    df = bulk_load(spark, f"{tmp_dir}/one.csv.gz", schema)
+    assert df.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    sizes = df.groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) > 1 and sum(r["count"] for r in sizes) == 30_000
+    plain = spark.read.schema(schema).option("sep", ";").csv(f"{tmp_dir}/one.csv.gz")
+    assert df.schema == plain.schema and df.exceptAll(plain).count() == plain.exceptAll(df).count() == 0
+    _write_gz(f"{tmp_dir}/head.csv.gz", ["id;v;s", '1;2.5;"a;b"', "", "2;;"])
+    assert rows_of(bulk_load(spark, f"{tmp_dir}/head.csv.gz", schema, header=True)) == [(1, 2.5, "a;b"), (2, None, None)]
+    for bad in ("x;1;a", "3;1", "3;1;a;b"):
+        _write_gz(f"{tmp_dir}/bad.csv.gz", [*lines[:50], bad])
+        with pytest.raises(Exception, match="MALFORMED|Malformed|malformed"):
+            bulk_load(spark, f"{tmp_dir}/bad.csv.gz", schema).collect()
+        checked = bulk_load_checked(spark, f"{tmp_dir}/bad.csv.gz", schema)
+        assert checked.rows.count() == 50 and rows_of(checked.rejects) == [(bad,)]
+
+
+def test_rewrite_in_place_is_noticed(spark, tmp_dir):
+    root = f"{tmp_dir}/t"
+    rows(spark, "a int, k int", [(1, 0), (2, 1)]).coalesce(1).write.partitionBy("k").parquet(root)
+    before, files = snapshot([spark.read.parquet(root)]), manifest(spark, root).collect()
+    assert snapshot([spark.read.parquet(root)]) == before
+    kept = spark.createDataFrame(files, manifest(spark, root).schema)
+    digest = manifest_digest(kept)
+    target = next(r.path for r in files if "/k=1/" in r.path).replace("file://", "").replace("file:", "")
+    length, folder = os.path.getsize(target), os.stat(root)
+    os.utime(target, (0, 1_000_000))                       # same bytes and length, another time, in a nested folder
+    assert os.path.getsize(target) == length and os.stat(root).st_mtime == folder.st_mtime
+    assert snapshot([spark.read.parquet(root)]) != before
+    assert manifest_digest(manifest(spark, root)) != digest == manifest_digest(kept)
+    rows(spark, "a int, k int", [(3, 2)]).write.mode("append").partitionBy("k").parquet(root)
+    os.remove(next(r.path for r in files if "/k=0/" in r.path).replace("file://", "").replace("file:", ""))
+    found = {(c.path.split("/")[-2], c.change) for c in manifest_changes(kept, manifest(spark, root)).collect()}
+    assert found == {("k=0", "removed"), ("k=1", "rewritten"), ("k=2", "added")}
+
+
+def test_batches_are_published_once(spark, tmp_dir):
+    path, one = f"{tmp_dir}/ledger", rows(spark, "day date, revenue double, note string", [(None, 1.5, "a"), (None, 2.5, None)])
+    assert read_batches(spark, DECLARED, path).count() == 0
+    assert append_batch(one, DECLARED, path, "2024-01-02") and not append_batch(one, DECLARED, path, "2024-01-02")
+    assert append_batch(one.limit(1), DECLARED, path, "2024-01-03")
+    got = read_batches(spark, DECLARED, path, names=True)
+    assert got.columns == ["revenue", "day", "note", "_batch"] and got.count() == 3
+    assert got.where("_batch = '2024-01-03'").count() == 1
+    assert "PartitionFilters: [isnotnull(_batch" in plan_text(got.where("_batch = '2024-01-03'"))
+    # a killed write leaves files aside, which nobody reads
+    one.write.parquet(f"{path}/_aside-dead")
+    assert read_batches(spark, DECLARED, path).count() == 3
+    assert drop_unpublished(spark, path) == 0 and drop_unpublished(spark, path, 0) == 1
+    # two writers of one batch: the second finds it there when it publishes
+    one.write.parquet(f"{path}/_aside-late")
+    assert not _move_once(spark, f"{path}/_aside-late", f"{path}/_batch=2024-01-02")
+    assert read_batches(spark, DECLARED, path).count() == 3
+    with pytest.raises(ValueError):
+        append_batch(one, DECLARED, path, "../x")
+
+
+def test_schema_of_a_rewritten_table_is_read_anew(spark, tmp_dir):
+    rows(spark, "a int", [(1,)]).write.parquet(f"{tmp_dir}/x.parquet")
+    assert Tables(spark, tmp_dir).x.columns == ["a"] and Tables(spark, tmp_dir).x.columns == ["a"]
+    rows(spark, "b string", [("q",)]).write.mode("overwrite").parquet(f"{tmp_dir}/x.parquet")
+    assert Tables(spark, tmp_dir).x.columns == ["b"] and rows_of(Tables(spark, tmp_dir).x) == [("q",)]
