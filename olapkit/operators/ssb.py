@@ -70,8 +70,8 @@ def ssb_tables(t: Tables) -> SsbTables:
 # Layout "dist": the fact is partitioned by order year (a filter on the date
 # dimension prunes it at run time), and inside a year distributed on the part
 # key and sorted on the order date; part is distributed on the same key
-# (co-located join). A hot part key is spread over ``salts`` buckets, and its
-# part row is repeated that often (see ``spread_hot_parts``). The other
+# (co-located join). A hot part key is spread over as many buckets as its own
+# lines fill, and its part row is repeated that often (see ``hot_parts``). The other
 # dimensions are replicated, which in Spark is the size-checked broadcast of a
 # small side.
 DIST_LAYOUT = {
@@ -83,18 +83,25 @@ DIST_LAYOUT = {
 }
 
 
-def spread_hot_parts(tables: SsbTables, buckets: int, salts: int = 16) -> SsbTables:
-    """Give lines of hot parts (more than half a bucket's mean share of all
-    lines) one of ``salts`` salts and repeat those part rows once per salt;
-    all others have salt 0. There are fewer than ``2 * buckets`` hot parts."""
-    counts = tables.lineorder.groupBy("lo_partkey").agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    hot = [r[0] for r in counts.where(F.col("n") * 2 * buckets > total).select("lo_partkey").collect()]
-    is_hot = lambda c: F.coalesce(F.col(c).isin(hot), F.lit(False)) if hot else F.lit(False)
-    salt = F.when(is_hot("lo_partkey"), F.pmod(F.hash("lo_orderkey", "lo_linenumber"), F.lit(salts))).otherwise(0)
-    all_salts = F.when(is_hot("p_partkey"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    return replace(tables, lineorder=tables.lineorder.withColumn("lo_salt", salt.cast("int")),
-                   part=tables.part.withColumn("p_salt", F.explode(all_salts)))
+def hot_parts(tables: SsbTables, buckets: int) -> DataFrame:
+    """(part, salts): parts with more than half a bucket's mean share of all lines, each with as many salts as it has
+    such halves. There are fewer than ``2 * buckets`` of them, and fewer than ``4 * buckets`` salts in all."""
+    lines = tables.lineorder.where("lo_partkey IS NOT NULL").select("lo_partkey")
+    counts = lines.groupBy("lo_partkey").agg(F.count(F.lit(1)).alias("n"))
+    halves = F.col("n") * 2 * buckets / F.lit(max(1, lines.count()))
+    return counts.where(halves > 1).select(F.col("lo_partkey").alias("hot"), F.ceil(halves).cast("int").alias("salts"))
+
+
+def spread_hot_parts(tables: SsbTables, buckets: int) -> SsbTables:
+    """Give every line of a hot part one of the part's salts, and repeat the part's row once per salt; all others have
+    salt 0. Both sides meet the table of hot parts, whose size is bounded by the buckets."""
+    hot = F.broadcast(hot_parts(tables, buckets))
+    lines = tables.lineorder.join(hot, F.col("lo_partkey") == F.col("hot"), "left")
+    salt = F.coalesce(F.pmod(F.hash("lo_orderkey", "lo_linenumber"), F.col("salts")), F.lit(0)).cast("int")
+    parts = tables.part.join(hot, F.col("p_partkey") == F.col("hot"), "left")
+    every = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("salts") - 1, F.lit(0))))
+    return replace(tables, lineorder=lines.withColumn("lo_salt", salt).drop("hot", "salts"),
+                   part=parts.withColumn("p_salt", every).drop("hot", "salts"))
 
 
 def materialize(spark: SparkSession, tables: SsbTables, database: str, layout: str,

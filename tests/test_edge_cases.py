@@ -176,7 +176,11 @@ def test_hot_parts_are_salted(spark):
     hot = src.lineorder.withColumn("lo_partkey", F.when(F.col("lo_orderkey") % 3 == 0, 1).otherwise(F.col("lo_partkey")))
     plain = ssb.SsbTables(hot, src.dwdate, src.part, src.supplier, src.customer)
     salted = ssb.spread_hot_parts(plain, buckets=8)
-    assert salted.lineorder.where("lo_partkey = 1").select("lo_salt").distinct().count() == 16
+    (hot,) = ssb.hot_parts(plain, buckets=8).collect()   # a third of all lines and more: so many half buckets
+    n, mine = plain.lineorder.count(), plain.lineorder.where("lo_partkey = 1").count()
+    assert hot.hot == 1 and hot.salts == -(-mine * 16 // n)
+    assert salted.lineorder.where("lo_partkey = 1").select("lo_salt").distinct().count() == hot.salts
+    assert salted.part.where("p_partkey = 1").count() == hot.salts and salted.lineorder.count() == n
     for name in ssb.SSB_QUERIES:
         assert rows_of(ssb.run_ssb(spark, plain, name)) == rows_of(ssb.run_ssb(spark, salted, name))
 
