@@ -1,6 +1,6 @@
 """Registered jobs (one per SURVEY §2 key) and their DuckDB oracle SQL."""
 
-from . import eventlog, files, modeling, quality, ssb, warehouse, weblog  # noqa: F401
+from . import eventlog, files, history, modeling, quality, ssb, warehouse, weblog  # noqa: F401
 from .registry import ORACLE, QUERIES, query
 
 
