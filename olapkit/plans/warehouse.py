@@ -3,8 +3,11 @@ snowflake, OLAP cube operations (SURVEY §2.3-2.8, §2.10 O-DM7..12)."""
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import functions as F
 
+from ..operators.lattice import CubeLattice
 from ..operators.olap import CubeQuery, materialize_cube
 from ..operators.quality import multiset_diff
 from ..operators.star import (REVENUE, Star, build_dim_customer, build_dim_date, build_dim_item, build_dim_store,
@@ -420,6 +423,50 @@ def stored_cube(t: Tables):
     return cube.where(F.col("grouping_id").isin(1, 3)).withColumn("grouping_id", F.col("grouping_id").cast("bigint"))
 
 
+LATTICE_LEVELS = ["month", "rating", "city", "country", "store_country"]
+
+
+def stored_lattice(t: Tables) -> CubeLattice:
+    """A lattice of revenue over five levels with three cuboids beside the finest; the sales up to 1997 first, the rest as
+    a delta that is given twice."""
+    def build() -> CubeLattice:
+        facts = _cube(t).joined(["year", *LATTICE_LEVELS])
+        lattice = CubeLattice(t.spark, scratch_path(t.spark, "lattice"), LATTICE_LEVELS, "sales_amount", "customer_key",
+                              implies={"city": ["country"]})
+        lattice.plan(facts, 3)
+        lattice.add(facts.where("year <= 1997"), "to-1997")
+        for _ in range(2):
+            lattice.add(facts.where("year > 1997"), "from-1998")
+        return lattice
+
+    return stored("lattice", [t.get(n) for n in STAR_INPUTS], build)
+
+
+@query("cube_lattice", _SALES_BY_LEVEL + """
+SELECT month, country, store_country, CAST(sum(paid) AS DECIMAL(38,2)) AS revenue, count(*) AS n
+FROM sold GROUP BY GROUPING SETS ((month, store_country), (country), (country, store_country), ())""")
+def cube_lattice(t: Tables):
+    """Four groupings answered from stored cuboids, after a delta (O-O8)."""
+    lattice, out = stored_lattice(t), []
+    for g in (["month", "store_country"], ["country"], ["country", "store_country"], []):
+        cols = [F.col(c) if c in g else F.lit(None).cast(lattice.types[c].dataType).alias(c)
+                for c in ("month", "country", "store_country")]
+        out.append(lattice.answer(*g).select(*cols, F.col("total").alias("revenue"), "n"))
+    return functools.reduce(lambda a, b: a.unionByName(b), out)
+
+
+@query("cube_lattice_distinct", with_ctes(FACT, DIM_STORE) + """
+SELECT st.country AS store_country, count(DISTINCT f.customer_key) AS customers, true AS near
+FROM fact f JOIN dim_store st ON f.store_key = st.store_key GROUP BY st.country""")
+def cube_lattice_distinct(t: Tables):
+    """Distinct buyers per store country: exact from the facts, and whether the stored sketches are within 8 percent, five
+    of their standard errors (O-A7, O-O8)."""
+    exact = _cube(t).joined(["store_country"]).groupBy("store_country").agg(F.count_distinct("customer_key").alias("customers"))
+    about = stored_lattice(t).answer("store_country").select("store_country", "distinct")
+    return exact.join(about, "store_country").select("store_country", "customers", (
+        F.abs(F.col("distinct") - F.col("customers")) <= F.ceil(F.col("customers") * 0.08)).alias("near"))
+
+
 @query("olap_cube_naive", _groupings_sql(month="CAST(lattice.month AS VARCHAR)"))
 def olap_cube_naive(t: Tables):
     """The cube as four aggregates glued with UNION ALL, month as text (O-A15, O-L6)."""
