@@ -381,6 +381,38 @@ def test_schedule_is_even(frame):
             assert abs(sum(k == s for _, k, _ in plan[:upto]) - upto * share[s]) < 5
 
 
+def test_result_comes_through_the_schedule(frame, monkeypatch):
+    rows = [(k, f"w{k} " * 300, s) for k, s in enumerate("aaaaabbbbcc" * 12)]
+    slots = lambda: {r.doc_id: (r.first_slot, r.last_slot) for r in mixing.report(frame(rows)).collect()}
+    right, out = slots(), [(r.source, len(words(r.text))) for r in mixing.mixed(frame(rows)).collect()]
+    assert all(a <= b for a, b in right.values() if a is not None)
+    # in order: any stretch of the mix has the sources nearly in their shares
+    total = collections.Counter()
+    for s, n in out:
+        total[s] += n
+    every = sum(total.values())
+    for at in range(20, len(out), 20):
+        seen = collections.Counter()
+        for s, n in out[:at]:
+            seen[s] += n
+        for s in total:
+            assert abs(seen[s] / sum(seen.values()) - total[s] / every) < 0.2, (at, s)
+    monkeypatch.setattr(mixing, "STEP", 0)
+    assert slots() != right
+    bad = [r.source for r in mixing.mixed(frame(rows)).collect()]
+    assert len(set(bad[:len(bad) // 3])) < 3 or bad != [s for s, _ in out]
+
+
+def test_mixing_many_sources(frame, monkeypatch):
+    """Numbered and cumulated in parts: as with one part."""
+    rows = [(k, "w " * (k % 13), f"s{k % 57:02d}") for k in range(300)]
+    want = sorted((tuple(r) for r in mixing.report(frame(rows)).collect()), key=str)
+    monkeypatch.setattr(mixing, "GROUP", 4)
+    docs = frame(rows)
+    got = same(mixing.report(docs), oracle("documents", "documents", docs), mixing.OP10_SQL)
+    assert sorted((tuple(r) for r in got), key=str) == want
+
+
 # classifiers
 
 def classified_rows(n=600):

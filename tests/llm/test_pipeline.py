@@ -60,7 +60,7 @@ def test_all_operators_are_registered():
 
     names = set(entry.queries())
     assert {"pipeline", *queries.QUERIES} <= names
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
     assert set(queries.ORACLE_SQL) <= set(entry.oracle_sql())
 
 
