@@ -8,20 +8,24 @@ A document is its set of five-word shingles (64-bit hashes). Two documents link
 3. The leading fragment of every set in the global order (its prefix) must share a shingle with every partner's.
    Shingles in two or more prefixes are buckets. A bucket of at most ``SMALL`` nodes gives its pairs, and a pair
    needs so many common prefix shingles that the rest can still reach the bound. A larger bucket does not: its members
-   meet its first node only, the hub.
-4. Pairs are verified by fragments: sets are cut by hash range, each fragment's overlap is counted by its own row, and
-   the partial counts are summed per pair.
-5. Members linked to a hub are in one component already, whatever their links among each other. A member z that is not
-   linked to hub h can still link to any member y. With ``X = x ^ h`` (few shingles for near copies), ``x ^ y = X ^ Y``
-   and ``2 * |Z & Y| >= |Z| + |Y| - (|z| + |y|) / 9``; as z is not linked, ``9 * |Z| > |z| + |h|``. So z and y share an
-   element among the first ``|Y| - s(y) + 1`` of Y and the first ``|Z| - s(z) + 1`` of Z, rare first, with
-   ``s(y) = (9 |Y| - |y| + |h| + 1) / 18`` and ``s(z) = |Z| - |z| / 4``; and at their first common element both must
-   have enough elements left. Common shingles of the group are in no difference, so these buckets stay small where
-   whole prefixes would meet in all pairs.
+   join the group of its first node.
+4. Pairs are verified by fragments: the global order is cut into ``FRAGMENTS`` parts of about equal mass, each
+   fragment's overlap is counted by its own row, and the partial counts are summed per pair.
+5. A group gets a reference set C, the shingles that most of some ``VOTERS`` of its members hold. With ``X = x ^ C`` and
+   ``b(x) = 9 |X| - |x|``, x and y link if and only if ``18 |X & Y| >= b(x) + b(y)``, whatever C is. Let c be the member
+   of the smallest b, the centre. If ``b(x) + b(c) <= 0``, x links with c; these pairs are verified, and so such members
+   are in one component, whatever their links among each other. For any other member z, ``b(z) + b(y) > 0`` for all y, so
+   Z and Y share an element; with ``|y| <= 5/4 |z|`` at least ``s(z) = max(1, (b(z) + b(c)) / 18, |Z| - |z| / 4)`` of
+   them, and from y's side ``s(y) = max(1, (b(y) - b(c) + 1) / 18, |Y| - |y| / 4)``. So they meet among the first
+   ``|Z| - s(z) + 1`` of Z and ``|Y| - s(y) + 1`` of Y, in any order that all members use: shingles that several voters
+   differ in come last. At their first common element both must have enough elements left. What a template shares is
+   in C and in no difference; and of differences, (group, element) with at most ``SMALL`` members gives its pairs, while
+   a larger one makes a group of its own in the next of at most ``LEVELS`` rounds (the last gives pairs for all).
 6. Links give components by alternating stars; labels go back to the documents by their digest.
 
-``links`` gives enough links for the components of all links, not all of them: two members that are both linked to a hub
-are not compared. No component is lost, there are no caps, and a group of n near copies costs about n rows, not n^2.
+``links`` gives enough links for the components of all links, not all of them: two members that are both linked to a
+centre are not compared. No component is lost, there are no caps, and a group of n near copies, or of n pages of one
+template that do not link, costs about n rows, not n^2. Voters choose C and the order, on which only the work depends.
 
 Defined results: null and empty texts, and texts without words, have an empty set and link with nothing; they are their
 own component. Rows with a null id take no part in links and have a null component. Repeated rows are copies of each
@@ -48,8 +52,8 @@ WORDS, SMALL, FRAGMENTS = 5, 9, 8
 #: Sketch: 2^22 counters in blocks of 2^12; a shingle is frequent above this many times the mean plus a constant.
 SLOT_BITS, BLOCK_BITS = 22, 12
 FREQUENT_MEANS, FREQUENT_MORE = 8, 64
-#: Members of a hub that meet its set in one task.
-GROUP = 256
+#: Members of a group that meet its reference set in one task; members that vote for it, on average; rounds of groups.
+GROUP, VOTERS, LEVELS = 256, 15, 4
 #: Bits of the filter of wanted documents (fixed; when it is full it lets all pass, and the join decides). Its table of
 #: 2^18 words at most is broadcast.
 FILTER_BITS = 23
@@ -213,21 +217,40 @@ def _filter(ids: DataFrame) -> DataFrame:
     return bits.groupBy("word").agg(F.bit_or("mask").alias("mask"))
 
 
-def _fragments(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """(node, fragment, codes): the sets of wanted nodes, cut into hash ranges. Texts pass a filter of fixed size before
+def _order(s: np.ndarray, level: np.ndarray) -> np.ndarray:
+    """Places of shingles in the global order: their level, then their hash."""
+    return level[_slots(s)].astype(np.uint64) << np.uint64(56) | s >> np.uint64(8)
+
+
+def _cuts(levels: np.ndarray) -> np.ndarray:
+    """Places that cut the global order into FRAGMENTS parts of about equal mass."""
+    mass = np.cumsum(np.bincount(levels, minlength=256) * (2.0 ** (np.arange(256) / 8) - 1))
+    want = mass[-1] * np.arange(1, FRAGMENTS) / FRAGMENTS
+    at = np.searchsorted(mass, want)
+    before = np.concatenate([[0.0], mass])[at]
+    share = np.clip((want - before) / np.maximum(mass[at] - before, 1e-9), 0, 1 - 2.0 ** -40)
+    return at.astype(np.uint64) << np.uint64(56) | (share * 2.0 ** 56).astype(np.uint64)
+
+
+def _fragments(docs: DataFrame, wanted: DataFrame, levels, n: int) -> DataFrame:
+    """(node, fragment, codes): the sets of wanted nodes, cut in the global order. Texts pass a filter of fixed size before
     they meet ``wanted`` (node, doc_id, digest) in a join; a row of the same id with another text is no member."""
     hashed = docs.where("doc_id IS NOT NULL").withColumn("bit", _bit()).withColumn("word", F.expr("bit div 32"))
     likely = hashed.join(F.broadcast(_filter(wanted)), "word").where(
         "mask & shiftleft(1L, cast(bit % 32 AS int)) <> 0").select("doc_id", "text")
 
+    cuts = _cuts(levels.value)
+
     def cut(batches):
-        edges = (np.arange(1, FRAGMENTS, dtype=np.uint64) << np.uint64(64 - FRAGMENTS.bit_length() + 1))
+        level = levels.value
         for b in _slices(batches):
             nodes, digests = b.column(0).to_pylist(), b.column(1).to_pylist()
             out: tuple[list, list, list] = ([], [], [])
             for row, s in _sets(b, 2, n):
                 if _digest(s) == digests[row]:
-                    for k, part in enumerate(np.split(s, np.searchsorted(s, edges))):
+                    places = _order(s, level)
+                    first = np.argsort(places)
+                    for k, part in enumerate(np.split(s[first], np.searchsorted(places[first], cuts))):
                         out[0].append(nodes[row])
                         out[1].append(k)
                         out[2].append(part.view(np.int64))
@@ -262,55 +285,113 @@ def _with_sizes(pairs: DataFrame, classes: DataFrame) -> DataFrame:
         n.select(F.col("node").alias("y"), F.col("n").alias("yn")), "y")
 
 
-def _difference_pairs(members: DataFrame, fragments: DataFrame, levels) -> DataFrame:
-    """Candidate pairs (x, y) in large buckets with a member that is not linked to the hub. ``members``: (node, hub, n,
-    hub_n) of large buckets."""
-    own = fragments.groupBy("node").agg(F.flatten(F.collect_set("codes")).alias("codes"))  # a set's few fragments
-    # a hub's members are dealt by node too; its own set is repeated for every GROUP of them
-    groups = members.groupBy("hub").agg(F.ceil(F.count("*") / GROUP).cast("int").alias("groups"))
-    hubs = own.join(groups, F.col("node") == F.col("hub")).select(
-        "hub", F.col("codes").alias("hs"), F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("part"))
-    dealt = members.join(groups, "hub").withColumn("part", F.pmod(F.xxhash64("node"), F.col("groups")).cast("int"))
-    both = dealt.join(own.select("node", F.col("codes").alias("xs")), "node").join(hubs, ["hub", "part"]).select(
-        "hub", "node", "n", "hub_n", F.array_union(F.array_except("xs", "hs"), F.array_except("hs", "xs")).alias("diff"))
+def _references(members: DataFrame, own: DataFrame) -> DataFrame:
+    """(grp, parts, ref, late, weight): reference set of every group of ``members`` (grp, node, n), and the elements that
+    several voters differ in, with the number of these voters. ``parts``: in how many parts the group is dealt."""
+    sizes = members.groupBy("grp").agg(F.count("*").alias("size"))
+    voting = members.join(sizes, "grp").where(F.pmod(F.xxhash64("node", "grp"), "size") < VOTERS).select("grp", "node")
+    votes = voting.join(own, "node").select("grp", F.explode("codes").alias("element")).groupBy("grp", "element").agg(
+        F.count("*").alias("votes")).where("votes > 1")
+    voters = voting.groupBy("grp").agg(F.count("*").alias("voters"))
+    apart = F.least("votes", F.col("voters") - F.col("votes"))
+    late = F.struct("element", apart.cast("int").alias("weight"))
+    found = votes.join(voters, "grp").groupBy("grp").agg(
+        F.collect_list(F.when(F.col("votes") * 2 > F.col("voters"), F.col("element"))).alias("ref"),
+        F.array_sort(F.collect_list(F.when(apart > 1, late))).alias("late"))
+    none = F.array().cast("array<long>")
+    return sizes.join(found, "grp", "left").select(
+        "grp", F.ceil(F.col("size") / GROUP).cast("int").alias("parts"), F.coalesce("ref", none).alias("ref"),
+        F.coalesce(F.col("late.element"), none).alias("late"),
+        F.coalesce(F.col("late.weight"), F.array().cast("array<int>")).alias("weight"))
+
+
+def _differences(members: DataFrame, own: DataFrame, refs: DataFrame) -> DataFrame:
+    """(grp, node, n, diff, late, weight, b): what every member and its group's reference do not share."""
+    dealt = members.join(refs.select("grp", "parts"), "grp").withColumn(
+        "part", F.pmod(F.xxhash64("node"), "parts").cast("int"))
+    each = refs.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+    diff = F.concat(F.array_except("codes", "ref"), F.array_except("ref", "codes"))
+    return dealt.join(own, "node").join(each, ["grp", "part"]).select(
+        "grp", "node", "n", diff.alias("diff"), "late", "weight").withColumn("b", 9 * F.size("diff") - F.col("n"))
+
+
+def _leads(differences: DataFrame, levels) -> DataFrame:
+    """(grp, element, node, n, as_z, as_y, b, left): the first elements of differences (grp, node, n, diff, late, weight,
+    b, least), in an order that all members of a group use."""
 
     def lead(batches):
         level = levels.value
-        for b in _slices(batches):
-            hubs, nodes, sizes, hub_sizes = (b.column(k).to_numpy() for k in range(4))
-            out: tuple[list, ...] = ([], [], [], [], [], [], [], [])
-            for k, diff in enumerate(b.column(4)):
-                e = np.sort(np.asarray(diff.values, np.int64).view(np.uint64))
-                e = e[np.argsort(level[_slots(e)], kind="stable")]
-                d, n, h = len(e), int(sizes[k]), int(hub_sizes[k])
-                far = 9 * d > n + h
-                as_y = d - max(1, -(-(9 * d - n + h + 1) // 18)) + 1
-                as_z = d - max(1, d - n // 4) + 1 if far else 0
-                m = max(as_y, as_z, 0)
+        for batch in _slices(batches):
+            grp, node, size, bs, least = (batch.column(k).to_numpy() for k in (0, 1, 2, 6, 7))
+            out: tuple[list, ...] = tuple([] for _ in range(8))
+            for k in range(len(batch)):
+                e = np.asarray(batch.column(3)[k].values, np.int64)
+                late = np.asarray(batch.column(4)[k].values, np.int64)
+                weight = np.zeros(len(e), np.int64)
+                if len(late):
+                    at = np.minimum(np.searchsorted(late, e), len(late) - 1)
+                    weight = np.where(late[at] == e, np.asarray(batch.column(5)[k].values, np.int64)[at], 0)
+                e = e[np.lexsort((_order(e.view(np.uint64), level), weight))]
+                d, n, b, c = len(e), int(size[k]), int(bs[k]), int(least[k])
+                as_z = d - max(1, -(-(b + c) // 18), d - n // 4) + 1 if b + c > 0 else 0
+                as_y = d - max(1, -(-(b - c + 1) // 18), d - n // 4) + 1
+                m = max(as_z, as_y, 0)
                 place = np.arange(m)
-                out[0].append(np.full(m, hubs[k]))
-                out[1].append(np.full(m, nodes[k]))
-                out[2].append(np.full(m, n))
-                out[3].append(e[:m].view(np.int64))
-                out[4].append(place < as_z)
-                out[5].append(place < as_y)
-                out[6].append(np.full(m, d))
-                out[7].append(d - place)
-            cols = [np.concatenate(c) if c else np.empty(0, np.int64) for c in out]
+                for col, value in zip(out, (np.full(m, grp[k]), e[:m], np.full(m, node[k]), np.full(m, n), place < as_z,
+                                            place < as_y, np.full(m, b), d - place)):
+                    col.append(value)
             types = [pa.int64()] * 4 + [pa.bool_()] * 2 + [pa.int64()] * 2
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
-                                             ["hub", "node", "n", "element", "as_z", "as_y", "size", "left"])
-
-    lists = stored(both.mapInArrow(lead, "hub long, node long, n long, element long, as_z boolean, as_y boolean, "
-                                         "size long, left long"), "join-differences")
-    z = lists.where("as_z").select("hub", "element", F.col("node").alias("z"), F.col("n").alias("xn"),
-                                   F.col("size").alias("zd"), F.col("left").alias("zl"))
-    y = lists.where("as_y").select("hub", "element", F.col("node").alias("o"), F.col("n").alias("yn"),
-                                   F.col("size").alias("yd"), F.col("left").alias("yl"))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(c) if c else [], t) for c, t in zip(out, types)],
+                ["grp", "element", "node", "n", "as_z", "as_y", "b", "left"])
+
+    return differences.mapInArrow(lead, "grp long, element long, node long, n long, as_z boolean, as_y boolean, "
+                                        "b long, left long")
+
+
+def _met(leads: DataFrame) -> DataFrame:
+    """Candidate pairs (x, y) of leads that share an element."""
+    z = leads.where("as_z").select("grp", "element", F.col("node").alias("z"), F.col("n").alias("xn"),
+                                   F.col("b").alias("zb"), F.col("left").alias("zl"))
+    y = leads.where("as_y").select("grp", "element", F.col("node").alias("o"), F.col("n").alias("yn"),
+                                   F.col("b").alias("yb"), F.col("left").alias("yl"))
     # from the first common element on, no more elements can be common than either list has left
-    enough = 18 * F.least("zl", "yl") >= 9 * (F.col("zd") + F.col("yd")) - F.col("xn") - F.col("yn")
-    pairs = z.join(y, ["hub", "element"]).where("z <> o").where(_fits()).where(enough)
-    return pairs.select(F.least("z", "o").alias("x"), F.greatest("z", "o").alias("y")).distinct()
+    enough = 18 * F.least("zl", "yl") >= F.col("zb") + F.col("yb")
+    pairs = z.join(y, ["grp", "element"]).where("z <> o").where(_fits()).where(enough)
+    return pairs.select(F.least("z", "o").alias("x"), F.greatest("z", "o").alias("y"))
+
+
+def _group_pairs(members: DataFrame, fragments: DataFrame, levels) -> DataFrame:
+    """Candidate pairs (x, y) in groups ``members`` (grp, node, n) that connect what links: every member that must link
+    with its group's centre, and members whose differences from the reference meet."""
+    own = stored(fragments.groupBy("node").agg(F.flatten(F.collect_set("codes")).alias("codes")), "join-sets")
+    found = None
+    for level in range(1, LEVELS + 1):
+        refs = stored(_references(members, own), "join-references")
+        diffs = stored(_differences(members, own, refs), "join-differences")
+        centres = stored(diffs.groupBy("grp").agg(F.min(F.struct("b", "node")).alias("c"), F.max("b").alias("most")).select(
+            "grp", F.col("c.b").alias("least"), F.col("c.node").alias("centre"), "most"), "join-centres")
+        near = diffs.select("grp", "node", "b").join(centres, "grp").where("b + least <= 0 AND node <> centre").select(
+            F.col("centre").alias("x"), F.col("node").alias("y"))
+        # a group whose members all link with its centre needs nothing else
+        open_ = diffs.join(centres.where("most + least > 0").select("grp", "least"), "grp")
+        leads = _leads(open_, levels)
+        if level < LEVELS:
+            leads = stored(leads, "join-leads")
+            by = ["grp", "element"]
+            buckets = leads.groupBy(*by).agg(
+                F.count("*").alias("members"), F.min("node").alias("first"), F.max("as_z").alias("any")).where(
+                "any AND members > 1").drop("any")
+            leads = stored(leads.join(buckets, by), "join-met")
+            few = leads.where(F.col("members") <= SMALL)
+            members = stored(leads.where(F.col("members") > SMALL).select(
+                F.xxhash64("grp", "first").alias("grp"), "node", "n").distinct(), "join-members")
+        else:
+            few = leads
+        pairs = stored(near.unionByName(_met(few)).distinct(), "join-more")
+        found = pairs if found is None else found.unionByName(pairs)
+        if level == LEVELS or members.isEmpty():
+            return found.distinct()
 
 
 def links(docs: DataFrame, n: int = WORDS) -> tuple[DataFrame, DataFrame]:
@@ -322,21 +403,20 @@ def links(docs: DataFrame, n: int = WORDS) -> tuple[DataFrame, DataFrame]:
     levels = sc.broadcast(levels)
     classes = _classes(_prefixes(known, levels, mean, n))
     buckets = _buckets(classes)
-    members = buckets.where((F.col("members") > SMALL) & (F.col("node") != F.col("hub"))).select(
-        "node", "hub").distinct()
-    size = classes.select(F.col("node").alias("hub"), F.col("n").alias("hub_n"))
-    members = stored(members.join(classes.select("node", "n"), "node").join(size, "hub").select(
-        "node", "hub", "n", "hub_n"), "join-members")
-    met = members.select(F.col("hub").alias("x"), F.col("node").alias("y"))
-    pairs = stored(_near_pairs(buckets).unionByName(met).distinct(), "join-pairs")
-    nodes = pairs.select(F.col("x").alias("node")).unionByName(pairs.select(F.col("y").alias("node"))).distinct()
-    wanted = stored(nodes.join(classes, "node").select("node", F.col("first_id").alias("doc_id"), "digest"),
-                    "join-wanted")
-    fragments = _fragments(known, wanted, n)
-    first = stored(_with_sizes(_overlaps(pairs, fragments), classes).where(_linked()).select("x", "y"), "join-links")
-    grouped = members.select("node").unionByName(members.select(F.col("hub").alias("node"))).distinct()
-    dense = stored(_fragments(known, wanted.join(grouped, "node", "left_semi"), n), "join-dense")
-    more = stored(_difference_pairs(members, dense, levels), "join-more")
+    members = stored(buckets.where(F.col("members") > SMALL).select(F.col("hub").alias("grp"), "node", "n").distinct(),
+                     "join-members")
+    pairs = stored(_near_pairs(buckets), "join-pairs")
+    ends = pairs.select(F.col("x").alias("node")).unionByName(pairs.select(F.col("y").alias("node")))
+
+    def sets(nodes: DataFrame, name: str) -> DataFrame:
+        wanted = stored(nodes.distinct().join(classes, "node").select(
+            "node", F.col("first_id").alias("doc_id"), "digest"), name)
+        return _fragments(known, wanted, levels, n)
+
+    first = stored(_with_sizes(_overlaps(pairs, sets(ends, "join-wanted")), classes).where(_linked()).select("x", "y"),
+                   "join-links")
+    dense = stored(sets(members.select("node"), "join-grouped"), "join-dense")
+    more = _group_pairs(members, dense, levels)
     second = _with_sizes(_overlaps(more, dense), classes).where(_linked()).select("x", "y")
     return classes, first.unionByName(second).distinct()
 

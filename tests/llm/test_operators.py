@@ -139,10 +139,23 @@ def near_copies(rng, n_groups, size, edits, length=60):
             yield " ".join(w)
 
 
-@pytest.mark.parametrize("small", [9, 2])
-def test_ngram_join(frame, monkeypatch, small):
-    """With a bound of 2 on small buckets nearly all goes the way of hubs and differences."""
+def template_pages(rng, pages, shared=200, own=30, name="t"):
+    """Pages of one template whose own words keep them under the bound, and now and then a near copy of a page."""
+    head = [f"{name}{k}" for k in range(shared)]
+    for k in range(pages):
+        page = head + [f"{name}own{rng.randrange(10 ** 9)}" for _ in range(own)]
+        yield " ".join(page)
+        if k % 50 == 0:
+            yield " ".join(page[:-2] + ["other", "end"])
+
+
+@pytest.mark.parametrize("small, voters, levels", [(9, 15, 4), (2, 15, 4), (2, 2, 2), (3, 1, 1)])
+def test_ngram_join(frame, monkeypatch, small, voters, levels):
+    """With a bound of 2 on small buckets nearly all goes the way of groups and differences. Which members vote and how
+    many rounds there are decides on the work alone."""
     monkeypatch.setattr(ngram_join, "SMALL", small)
+    monkeypatch.setattr(ngram_join, "VOTERS", voters)
+    monkeypatch.setattr(ngram_join, "LEVELS", levels)
     rng = random.Random(small)
     texts = [*near_copies(rng, 6, 25, 4), *near_copies(rng, 20, 3, 3), *near_copies(rng, 3, 12, 2, 8)]
     rows = [(k, t) for k, t in enumerate(texts + texts[:10] + ODD)]
@@ -153,6 +166,43 @@ def test_ngram_join(frame, monkeypatch, small):
     assert got == sorted(brute_components(rows), key=str)
 
 
+def test_ngram_join_of_template_pages_makes_pairs_in_proportion(frame, monkeypatch):
+    """Pages of templates, also of two under one common heading, share most words and link with few others."""
+    made = {}
+    whole = ngram_join._group_pairs
+
+    def counted(*args):
+        pairs = whole(*args)
+        made[size] = pairs.count()
+        return pairs
+
+    monkeypatch.setattr(ngram_join, "_group_pairs", counted)
+    for size in (250, 1000):
+        rng = random.Random(size)
+        texts = [*template_pages(rng, size // 2), *template_pages(rng, size // 4, 150, 25, "u"),
+                 *template_pages(rng, size // 4, 120, 17, "v")]
+        rows = list(enumerate(texts))
+        got = {r.doc_id: r.component_id for r in ngram_join.report(frame(rows)).collect()}
+        sets = [(k, frozenset(zip(*[t.split()[i:] for i in range(5)]))) for k, t in rows]
+        near = [i - 1 for i, t in rows if t.endswith(" other end")]
+        assert all(got[i + 1] == i for i in near)
+        if size == 250:
+            assert [(k, len(s), got[k]) for k, s in sets] == brute_components(rows)
+        assert sum(got[k] != k for k, _ in rows) == len(near)
+    assert made[1000] <= 5 * made[250] and made[1000] <= 4 * 1000
+
+
+def test_fragments_cut_the_global_order():
+    levels = np.random.default_rng(1).integers(0, 90, 1 << ngram_join.SLOT_BITS).astype(np.uint8)
+    codes = np.random.default_rng(2).integers(0, 2 ** 64, 200_000, dtype=np.uint64)
+    # a shingle's slot counts it, so a draw by counts has about equal parts
+    weight = 2.0 ** (levels[ngram_join._slots(codes)] / 8) - 1
+    at = np.searchsorted(ngram_join._cuts(levels), ngram_join._order(codes, levels))
+    mass = np.bincount(at, weight, ngram_join.FRAGMENTS)
+    assert len(mass) == ngram_join.FRAGMENTS and mass.max() < 1.1 * mass.mean()
+    assert len(ngram_join._cuts(np.zeros_like(levels))) == ngram_join.FRAGMENTS - 1
+
+
 def test_ngram_join_keeps_one_of_a_group(frame):
     text = " ".join(f"w{k}" for k in range(40))
     rows = [(5, text), (2, text + " end"), (9, "other"), (9, "other"), (None, text), (7, None), (8, "")]
