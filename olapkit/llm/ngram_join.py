@@ -19,7 +19,7 @@ A document is its set of five-word shingles (64-bit hashes). Two documents link
    them, and from y's side ``s(y) = max(1, (b(y) - b(c) + 1) / 18, |Y| - |y| / 4)``. So they meet among the first
    ``|Z| - s(z) + 1`` of Z and ``|Y| - s(y) + 1`` of Y, in any order that all members use: shingles that several voters
    differ in come last. At their first common element both must have enough elements left. What a template shares is
-   in C and in no difference; and of differences, (group, element) with at most ``SMALL`` members gives its pairs, while
+   in C and in no difference; and of differences, (group, element) with at most ``CROWD`` members gives its pairs, while
    a larger one makes a group of its own in the next of at most ``LEVELS`` rounds (the last gives pairs for all).
 6. Links give components by alternating stars; labels go back to the documents by their digest.
 
@@ -52,8 +52,10 @@ WORDS, SMALL, FRAGMENTS = 5, 9, 8
 #: Sketch: 2^22 counters in blocks of 2^12; a shingle is frequent above this many times the mean plus a constant.
 SLOT_BITS, BLOCK_BITS = 22, 12
 FREQUENT_MEANS, FREQUENT_MORE = 8, 64
-#: Members of a group that meet its reference set in one task; members that vote for it, on average; rounds of groups.
-GROUP, VOTERS, LEVELS = 256, 15, 4
+#: Members of a group that meet its reference set in one task; members that vote for it, on average.
+GROUP, VOTERS = 256, 15
+#: Members of a group that share an element of their differences and give pairs at once; rounds of groups made of more.
+CROWD, LEVELS = 100, 3
 #: Bits of the filter of wanted documents (fixed; when it is full it lets all pass, and the join decides). Its table of
 #: 2^18 words at most is broadcast.
 FILTER_BITS = 23
@@ -383,8 +385,8 @@ def _group_pairs(members: DataFrame, fragments: DataFrame, levels) -> DataFrame:
                 F.count("*").alias("members"), F.min("node").alias("first"), F.max("as_z").alias("any")).where(
                 "any AND members > 1").drop("any")
             leads = stored(leads.join(buckets, by), "join-met")
-            few = leads.where(F.col("members") <= SMALL)
-            members = stored(leads.where(F.col("members") > SMALL).select(
+            few = leads.where(F.col("members") <= CROWD)
+            members = stored(leads.where(F.col("members") > CROWD).select(
                 F.xxhash64("grp", "first").alias("grp"), "node", "n").distinct(), "join-members")
         else:
             few = leads

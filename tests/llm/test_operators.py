@@ -154,6 +154,7 @@ def test_ngram_join(frame, monkeypatch, small, voters, levels):
     """With a bound of 2 on small buckets nearly all goes the way of groups and differences. Which members vote and how
     many rounds there are decides on the work alone."""
     monkeypatch.setattr(ngram_join, "SMALL", small)
+    monkeypatch.setattr(ngram_join, "CROWD", small)
     monkeypatch.setattr(ngram_join, "VOTERS", voters)
     monkeypatch.setattr(ngram_join, "LEVELS", levels)
     rng = random.Random(small)
