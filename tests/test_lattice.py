@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from olapkit.operators import lattice
 from olapkit.operators.lattice import CubeLattice, choose, groupings
 
-from .conftest import rows_of
+from .conftest import plan_text, rows_of
 
 LEVELS = ["city", "country", "month"]
 IMPLIES = {"city": ["country"]}
@@ -131,3 +131,41 @@ def test_choice_is_greedy_by_benefit():
         top = taken[0]
         best = min((cost([top, v]) for v in sizes), default=0)
         assert len(taken) == 1 or cost(taken[:2]) == best
+
+
+def test_sizes_are_estimated_from_distinct_cells(facts, monkeypatch):
+    monkeypatch.setattr(lattice.F, "approx_count_distinct", F.count)   # the rows that an estimate sees
+    cells = facts.select(*LEVELS).distinct().count()
+    sizes = lattice.grouping_sizes(facts, LEVELS)
+    assert cells < facts.count() and {n for g, n in sizes.items() if g} == {cells}
+
+
+def test_sketches_of_many_groups_need_no_sort(spark, tmp_dir, facts, monkeypatch):
+    real, bounds = lattice.append_batch, []
+
+    def spies(*args):
+        bounds.append(int(spark.conf.get(lattice._FALLBACK, "128")))
+        return real(*args)
+
+    monkeypatch.setattr(lattice, "append_batch", spies)
+    cube = CubeLattice(spark, f"{tmp_dir}/c", LEVELS, "amount", "buyer", IMPLIES)
+    cube.plan(facts, 1)
+    cube.add(facts, "1")
+    assert bounds[0] == lattice.GROUPS_IN_MEMORY and set(bounds[1:]) == {128}
+    spark.conf.set(lattice._FALLBACK, "7")                             # the session's own bound stays
+    try:
+        cube.add(facts, "2")
+    finally:
+        spark.conf.unset(lattice._FALLBACK)
+    assert set(bounds[4:]) <= {7, 128} and 7 in bounds
+
+
+def test_the_lattice_joins_its_facts_once(tables, monkeypatch):
+    from olapkit.plans import warehouse
+
+    seen, real = [], CubeLattice.plan
+    monkeypatch.setattr(warehouse, "stored", lambda name, inputs, build: build())
+    monkeypatch.setattr(CubeLattice, "plan", lambda self, facts, n: (seen.append(facts), real(self, facts, n))[1])
+    cube = warehouse.stored_lattice(tables)
+    assert "Join" not in plan_text(seen[0], mode="simple")
+    assert cube.batches() == ["from-1998", "to-1997"]
