@@ -16,6 +16,14 @@ from .registry import query
 from .sqlbits import DATE_KEY
 
 SSB_INPUTS = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
+#: Line items (as stored) per bucket: one task sorts a bucket's some three million rows without spilling. Spark takes no
+#: more than 100,000 buckets.
+BUCKET_BYTES, MOST_BUCKETS = 48 << 20, 100_000
+
+
+def ssb_buckets(t: Tables) -> int:
+    """Buckets of the ``dist`` layout; a bucket is written, and later sorted and joined, by one task."""
+    return min(MOST_BUCKETS, sized_count(t.lineitem, target_bytes=BUCKET_BYTES))
 
 
 def loaded_ssb(t: Tables, layout: str = "dist") -> SsbTables:
@@ -23,9 +31,7 @@ def loaded_ssb(t: Tables, layout: str = "dist") -> SsbTables:
     database of their own under the shared folder."""
     def build() -> SsbTables:
         db = f"olapkit_ssb_{layout}_{uuid.uuid4().hex[:10]}"
-        src = ssb_tables(t)
-        buckets = sized_count(t.lineitem, target_bytes=1 << 30)   # ~1 GB of input per bucket
-        return materialize(t.spark, src, db, layout, buckets=buckets, location=scratch_path(t.spark, db))
+        return materialize(t.spark, ssb_tables(t), db, layout, buckets=ssb_buckets(t), location=scratch_path(t.spark, db))
 
     return stored(f"ssb-{layout}", [t.get(n) for n in SSB_INPUTS], build)
 

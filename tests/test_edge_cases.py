@@ -193,3 +193,13 @@ def test_3nf_keeps_rows_with_null_attributes(spark):
         dim, slim = extract_dimension(df, "city", "city_id", first_seen_by=by)
         assert slim.columns == ["id", "city_id"] and slim.count() == 4
         assert rows_of(slim.join(dim, "city_id").select("id", "city")) == [(1, "a"), (2, None), (3, None), (4, "b")]
+
+
+def test_buckets_of_the_dist_layout_grow_with_the_lines(spark, monkeypatch):
+    from olapkit.plans import ssb as ssb_plans
+    from olapkit.sources import readers
+
+    t = Tables(spark, SF_SMALL)
+    for size, least, most in ((0, 1, 64), (3 << 30, 60, 100), (1 << 50, 100_000, 100_000)):
+        monkeypatch.setattr(readers, "input_bytes", lambda *frames, size=size: size)
+        assert least <= ssb_plans.ssb_buckets(t) <= most
