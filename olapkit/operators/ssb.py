@@ -36,7 +36,7 @@ class SsbTables:
 
 def ssb_tables(t: Tables) -> SsbTables:
     li, o = t.lineitem, t.orders
-    lineorder = li.join(o, li.l_orderkey == o.o_orderkey).select(
+    lineorder = li.join(o.hint("merge"), li.l_orderkey == o.o_orderkey).select(  # orders grow with the lines: no broadcast
         F.col("l_orderkey").alias("lo_orderkey"),
         F.col("l_linenumber").alias("lo_linenumber"),
         F.col("o_custkey").alias("lo_custkey"),
@@ -85,17 +85,21 @@ DIST_LAYOUT = {
 
 def hot_parts(tables: SsbTables, buckets: int) -> DataFrame:
     """(part, salts): parts with more than half a bucket's mean share of all lines, each with as many salts as it has
-    such halves. There are fewer than ``2 * buckets`` of them, and fewer than ``4 * buckets`` salts in all."""
+    such halves. There are fewer than ``2 * buckets`` of them, and fewer than ``4 * buckets`` salts in all. The number of
+    all lines is the sum of the parts' counts, so the lines are read once."""
     lines = tables.lineorder.where("lo_partkey IS NOT NULL").select("lo_partkey")
     counts = lines.groupBy("lo_partkey").agg(F.count(F.lit(1)).alias("n"))
-    halves = F.col("n") * 2 * buckets / F.lit(max(1, lines.count()))
-    return counts.where(halves > 1).select(F.col("lo_partkey").alias("hot"), F.ceil(halves).cast("int").alias("salts"))
+    every = F.broadcast(counts.agg(F.sum("n").alias("lines")))
+    halves = F.col("n") * 2 * buckets / F.col("lines")
+    return counts.crossJoin(every).where(halves > 1).select(
+        F.col("lo_partkey").alias("hot"), F.ceil(halves).cast("int").alias("salts"))
 
 
 def spread_hot_parts(tables: SsbTables, buckets: int) -> SsbTables:
     """Give every line of a hot part one of the part's salts, and repeat the part's row once per salt; all others have
-    salt 0. Both sides meet the table of hot parts, whose size is bounded by the buckets."""
-    hot = F.broadcast(hot_parts(tables, buckets))
+    salt 0. Both sides meet the table of hot parts, whose size is bounded by the buckets; it is found once for both."""
+    found = hot_parts(tables, buckets)
+    hot = F.broadcast(found.sparkSession.createDataFrame(found.collect(), found.schema))
     lines = tables.lineorder.join(hot, F.col("lo_partkey") == F.col("hot"), "left")
     salt = F.coalesce(F.pmod(F.hash("lo_orderkey", "lo_linenumber"), F.col("salts")), F.lit(0)).cast("int")
     parts = tables.part.join(hot, F.col("p_partkey") == F.col("hot"), "left")

@@ -203,3 +203,15 @@ def test_buckets_of_the_dist_layout_grow_with_the_lines(spark, monkeypatch):
     for size, least, most in ((0, 1, 64), (3 << 30, 60, 100), (1 << 50, 100_000, 100_000)):
         monkeypatch.setattr(readers, "input_bytes", lambda *frames, size=size: size)
         assert least <= ssb_plans.ssb_buckets(t) <= most
+
+
+def test_hot_parts_are_found_once(spark, monkeypatch):
+    from pyspark.sql import DataFrame
+
+    src = ssb.ssb_tables(Tables(spark, SF_SMALL))
+    with monkeypatch.context() as m:
+        m.setattr(type(src.lineorder), "count", lambda self: pytest.fail("lines are read again"))
+        salted = ssb.spread_hot_parts(src, buckets=8)
+    plan = plan_text(salted.lineorder, mode="simple")
+    assert isinstance(salted.part, DataFrame) and plan.count("l_orderkey") and plan.count("FileScan") == 2, plan
+    assert plan_text(salted.part, mode="simple").count("FileScan") == 1
