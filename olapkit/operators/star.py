@@ -35,11 +35,14 @@ def revenue_sum(col: str = "sales_amount", name: str = "revenue"):
     return F.sum(col).cast(REVENUE).alias(name)
 
 
-def sales(t: Tables) -> DataFrame:
-    """Line items with their order (payment ⋈ rental ⋈ inventory analogue)."""
+def sales(t: Tables, orders: DataFrame | None = None) -> DataFrame:
+    """Line items with their order (payment ⋈ rental ⋈ inventory analogue), or with ``orders`` that have more columns.
+
+    Orders grow with their lines, so both sides are shuffled at every size: orders small enough to be broadcast would
+    pass whole through the driver, and the join would change its form as the tables grow."""
     li = t.lineitem
-    o = t.orders
-    return li.join(o, li.l_orderkey == o.o_orderkey).withColumn("amt", amount())
+    o = t.orders if orders is None else orders
+    return li.join(o.hint("merge"), li.l_orderkey == o.o_orderkey).withColumn("amt", amount())
 
 
 def customer_geo(t: Tables) -> DataFrame:

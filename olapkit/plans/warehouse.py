@@ -268,9 +268,13 @@ def star_revenue(t: Tables):
 
 
 def _snowflake_revenue(t: Tables):
-    s, p = sales(t), t.part
-    g = customer_geo(t)
-    return (s.join(p, s.l_partkey == p.p_partkey).join(g, s.o_custkey == g.c_custkey)
+    """Orders meet their customer's city before they meet the lines, which are many more: the lines are then shuffled by
+    order and, if parts are many, by part, and never by customer."""
+    o, c, n, r, p = t.orders, t.customer, t.nation, t.region, t.part
+    placed = (o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
+              .join(r, n.n_regionkey == r.r_regionkey).select("o_orderkey", "o_orderdate", "n_name"))
+    s = sales(t, placed)
+    return (s.join(p, s.l_partkey == p.p_partkey)
             .groupBy(F.col("p_name").alias("title"), F.month("o_orderdate").cast("smallint").alias("month"),
                      F.col("n_name").alias("city"))
             .agg(_rev()))

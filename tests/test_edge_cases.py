@@ -215,3 +215,27 @@ def test_hot_parts_are_found_once(spark, monkeypatch):
     plan = plan_text(salted.lineorder, mode="simple")
     assert isinstance(salted.part, DataFrame) and plan.count("l_orderkey") and plan.count("FileScan") == 2, plan
     assert plan_text(salted.part, mode="simple").count("FileScan") == 1
+
+
+def test_lines_meet_orders_by_shuffle_and_customers_never(spark):
+    from olapkit.operators.star import sales
+    from olapkit.plans import warehouse
+
+    t = Tables(spark, SF_SMALL)
+    for df in (sales(t), ssb.ssb_tables(t).lineorder, warehouse._snowflake_revenue(t)):
+        assert "SortMergeJoin [l_orderkey" in plan_text(df, mode="simple")
+    above = plan_text(warehouse._snowflake_revenue(t), mode="simple").split("SortMergeJoin [l_orderkey")[0]
+    assert "custkey" not in above
+
+
+def test_star_equals_snowflake_on_repeated_and_null_keys(spark, tmp_dir):
+    for name in TABLES:
+        df = spark.read.parquet(f"{SF_SMALL}/{name}.parquet")
+        if name in ("orders", "customer", "part"):
+            df = df.unionByName(df.limit(5))
+        if name == "orders":
+            df = df.withColumn("o_custkey", F.when(F.col("o_orderkey") % 7 != 0, F.col("o_custkey")))
+        if name == "lineitem":
+            df = df.withColumn("l_orderkey", F.when(F.col("l_linenumber") != 2, F.col("l_orderkey")))
+        df.write.parquet(f"{tmp_dir}/{name}.parquet")
+    assert tuple(plans.queries()["star_equals_snowflake"](spark, tmp_dir).first()) == (0, 0)
