@@ -7,9 +7,10 @@ comparison. ``LL(toxic) - LL(ordinary)`` is summed per word and normalised by le
 windows of one, two and four words, of which the most toxic counts, since a few words make a text toxic. A logistic
 regression on these differences, fitted on labelled rows the models have not seen, turns them into a score.
 
-Fitting uses a bounded sample: of each class the ``SAMPLE`` rows with the smallest id hash among labelled rows for
-training, texts of at most ``SAMPLE_CHARS`` characters. Scoring covers every text whole. Labels and ids choose and mark
-training rows; scores are made from texts alone.
+Fitting uses every labelled row that is not held out, its text whole. N-grams are counted in tasks and summed by Spark;
+the regression's Newton steps are sums over all rows of fold 0, measured by a model of the other folds; scores use the
+model of all folds. What the driver and the tasks hold is the model: its size is the number of different n-grams, not of
+rows. Labels and ids choose and mark training rows; scores are made from texts alone.
 
 Defined results: null and empty texts and texts without letters get the score of no evidence (the fitted intercept
 with a difference of 0 everywhere). A label that is null is no label; of several labels of an id the largest counts.
@@ -25,7 +26,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import crc_remainder
@@ -118,75 +119,128 @@ class Model:
         return out
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 50) -> np.ndarray:
-    """Weights (last: intercept) of a logistic regression by Newton's method."""
-    x = np.hstack([x, np.ones((len(x), 1))])
-    w = np.zeros(x.shape[1])
-    penalty = np.eye(len(w)) * ridge
+def logistic(rows: DataFrame, ridge: float = 1e-2, steps: int = 50) -> np.ndarray:
+    """Weights (last: intercept) of a logistic regression of ``label`` on the values of ``x``, by Newton's method. A step
+    is one aggregate over all rows."""
+    n = 2 + len(WINDOWS)
+    x = [F.col("x")[k] for k in range(n - 1)] + [F.lit(1.0)]
+    w = np.zeros(n)
+    penalty = np.eye(n) * ridge
     penalty[-1, -1] = 1e-6
+    upper = np.triu_indices(n)
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p) + 1e-9)[:, None]).T @ x + penalty, x.T @ (y - p) - penalty @ w)
+        at = sum(F.lit(float(v)) * c for v, c in zip(w, x))
+        seen = rows.select(F.array(*x).alias("x"), "label", (
+            1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), at))))).alias("p"))
+        own = [F.col("x")[k] for k in range(n)]
+        spread = F.col("p") * (1 - F.col("p")) + 1e-9
+        sums = np.array(seen.agg(*[F.sum(spread * own[i] * own[j]) for i, j in zip(*upper)],
+                                 *[F.sum(c * (F.col("label") - F.col("p"))) for c in own]).first(), float)
+        curve = np.zeros((n, n))
+        curve[upper] = sums[:-n]
+        curve = curve + np.triu(curve, 1).T
+        step = np.linalg.solve(curve + penalty, sums[-n:] - penalty @ w)
         w = w + step
         if np.abs(step).max() < 1e-8:
             break
     return w
 
 
+def known_labels(labels: DataFrame, label: str, modulus: int, held: int) -> DataFrame:
+    """(doc_id, label, order) of the labelled ids that are not held out; ``order`` is the id's hash."""
+    known = labels.select("doc_id", F.col(label).cast("int").alias("label")).where(
+        F.col("label").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("label").alias("label"))
+    return known.where(crc_remainder(F.col("doc_id"), modulus) != held).withColumn(
+        "order", F.xxhash64("doc_id", F.lit(modulus)))
+
+
+def fold_of(order: str) -> Column:
+    return F.pmod(order, F.lit(FOLDS)).cast("int").alias("fold")
+
+
+def labelled(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held: int) -> DataFrame:
+    """(text, label, fold) of all rows with a text whose id has a label and is not held out."""
+    known = known_labels(labels, label, modulus, held).select("doc_id", "label", fold_of("order"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text IS NOT NULL")
+    return texts.join(known, "doc_id").select("text", "label", "fold")
+
+
 def sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held: int, size: int,
            balanced: bool = True) -> DataFrame:
     """(text, label, fold) of the training sample: the rows smallest by id hash, at most ``size`` of each class, or
     twice ``size`` of both in their own proportion. The chosen ids are broadcast; texts are not shuffled."""
-    known = labels.select("doc_id", F.col(label).cast("int").alias("label")).where(
-        F.col("label").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("label").alias("label"))
-    known = known.where(crc_remainder(F.col("doc_id"), modulus) != held).withColumn(
-        "order", F.xxhash64("doc_id", F.lit(modulus)))
+    known = known_labels(labels, label, modulus, held)
     first = lambda rows, n: rows.orderBy("order", "doc_id").limit(n)
     best = first(known, 2 * size) if not balanced else first(known.where("label = 0"), size).unionByName(
         first(known.where("label = 1"), size))
-    chosen = best.select(
-        "doc_id", "label", F.pmod("order", F.lit(FOLDS)).cast("int").alias("fold"))
+    chosen = best.select("doc_id", "label", fold_of("order"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(
         F.length("text") <= SAMPLE_CHARS)
     return texts.join(F.broadcast(chosen), "doc_id").select("text", "label", "fold")
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", modulus: int = 4, held: int = 2):
-    """(model, weights) from the training sample, or None without rows of both classes. Fold 0 fits the regression,
-    the other folds the models."""
-    rows = sample(docs, labels, label, modulus, held, SAMPLE)
+def count_grams(rows: DataFrame) -> DataFrame:
+    """(gram, toxic, ordinary, toxic_0, ordinary_0): n-gram counts of (text, label, fold) rows by class, of all folds and
+    of fold 0. A task counts words, and turns them into n-grams when it holds ``CACHE`` of them."""
+    names = ["toxic", "ordinary", "toxic_0", "ordinary_0"]
+
+    def flush(words):
+        tally: dict[str, list[int]] = defaultdict(lambda: [0, 0, 0, 0])
+        for (label, fold), counts in words.items():
+            at = 0 if label == 1 else 1
+            for w, n in counts.items():
+                for g in grams(w):
+                    both = tally[g]
+                    both[at] += n
+                    if fold == 0:
+                        both[at + 2] += n
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(tally), pa.string()), *(pa.array([v[k] for v in tally.values()], pa.int64()) for k in range(4))],
+            ["gram", *names])
 
     def count(batches):
-        counts = Counter()
+        words = defaultdict(Counter)
         for b in batches:
-            for text, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                for w, n in Counter(tokens(text)).items():
-                    for g in grams(w):
-                        counts[g, y] += n
-        if counts:
-            keys = list(counts)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([g for g, _ in keys]), pa.array([counts[k] if k[1] == 1 else 0 for k in keys], pa.int64()),
-                 pa.array([counts[k] if k[1] == 0 else 0 for k in keys], pa.int64())], ["gram", "toxic", "ordinary"])
-
-    grouped = rows.where("fold <> 0").select("text", "label").mapInArrow(
-        count, "gram string, toxic long, ordinary long").groupBy("gram").agg(
-        F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")).toPandas()
-    counts = {g: (int(t), int(o)) for g, t, o in grouped.itertuples(index=False)}
-    if not counts or not grouped["toxic"].sum() or not grouped["ordinary"].sum():
+            for text, label, fold in zip(*(b.column(k).to_pylist() for k in range(3))):
+                words[label, min(fold, 1)].update(tokens(text))
+            if sum(map(len, words.values())) > CACHE:
+                yield flush(words)
+                words.clear()
+        if words:
+            yield flush(words)
+
+    return rows.select("text", "label", "fold").mapInArrow(
+        count, "gram string, " + ", ".join(f"{c} long" for c in names)).groupBy("gram").agg(
+        *[F.sum(c).alias(c) for c in names])
+
+
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", modulus: int = 4, held: int = 2):
+    """(model, weights) from all labelled rows that are not held out, or None without rows of both classes. The
+    regression is fitted on fold 0, which a model of the other folds measures; the model returned is that of all folds."""
+    rows = labelled(docs, labels, label, modulus, held)
+    context = rows.sparkSession.sparkContext
+    table = count_grams(rows).toArrow()
+    found = list(zip(*(table.column(k).to_pylist() for k in range(5))))
+    some = lambda counts: all(any(both[c] for both in counts.values()) for c in (0, 1))
+    others = {g: (t - t0, o - o0) for g, t, o, t0, o0 in found if t + o > t0 + o0}
+    if not some(others):
         return None
-    model = Model(counts)
-    shared = rows.sparkSession.sparkContext.broadcast(model)
+    measuring = context.broadcast(Model(others))
 
     def measure(batches):
         for b in batches:
-            x = [shared.value.features(t) for t in b.column(0).to_pylist()]
+            x = [measuring.value.features(t) for t in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), b.column(1)], ["x", "label"])
 
-    got = rows.where("fold = 0").select("text", "label").mapInArrow(measure, "x array<double>, label int").collect()
-    if len({r.label for r in got}) < 2:
+    got = rows.where("fold = 0").select("text", "label").mapInArrow(measure, "x array<double>, label int").persist()
+    try:
+        weights = logistic(got) if got.select("label").distinct().count() == 2 else None
+    finally:
+        got.unpersist()
+        measuring.unpersist()
+    if weights is None:
         return None
-    return shared, logistic(np.array([r.x for r in got]), np.array([r.label for r in got], float))
+    return context.broadcast(Model({g: (t, o) for g, t, o, *_ in found})), weights
 
 
 def report(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -504,6 +504,25 @@ def test_toxicity(frame, labels, monkeypatch):
     assert toxicity.report(frame([]), labels(marks)).count() == 0
 
 
+def test_toxicity_learns_from_every_labelled_row_whole(frame, labels, monkeypatch):
+    monkeypatch.setattr(toxicity, "SAMPLE", 5)             # the bound that op1 had
+    rows, marks = classified_rows()
+    seen = toxicity.labelled(frame([*rows, (None, "x")]), labels(marks), "toxic", 4, 2)
+    kept = [(t, m[2]) for (i, t), m in zip(rows, marks) if zlib.crc32(str(i).encode()) % 4 != 2]
+    assert sorted((r.text, r.label) for r in seen.collect()) == sorted(kept)
+    want = collections.defaultdict(lambda: [0, 0])
+    for t, y in kept:
+        for w in toxicity.tokens(t):
+            for g in toxicity.grams(w):
+                want[g][1 - y] += 1
+    monkeypatch.setattr(toxicity, "CACHE", 3)
+    assert {r.gram: [r.toxic, r.ordinary] for r in toxicity.count_grams(seen).collect()} == want
+    # texts of more than 20,000 characters are training texts too
+    long = [(i, t + " an er th on re" * 1500) for i, t in rows]
+    got = {r.doc_id: r for r in toxicity.report(frame(long), labels(marks)).collect()}
+    assert sum(got[i].predicted != m[2] for (i, _), m in zip(rows, marks)) <= 0.05 * len(rows)
+
+
 def test_kneser_ney_probabilities_sum_to_one():
     rng = random.Random(7)
     counts = {}
