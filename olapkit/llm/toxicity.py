@@ -159,10 +159,11 @@ def fold_of(order: str) -> Column:
 
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held: int) -> DataFrame:
-    """(text, label, fold) of all rows with a text whose id has a label and is not held out."""
+    """(text, label, fold) of all rows with a text whose id has a label and is not held out. Labels grow with the
+    documents, so both are shuffled by id at every size; small labels are not broadcast."""
     known = known_labels(labels, label, modulus, held).select("doc_id", "label", fold_of("order"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text IS NOT NULL")
-    return texts.join(known, "doc_id").select("text", "label", "fold")
+    return texts.join(known.hint("merge"), "doc_id").select("text", "label", "fold")
 
 
 def sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held: int, size: int,
