@@ -3,7 +3,9 @@
 A document is its set of five-word shingles (64-bit hashes). Two documents link when
 ``100 * |x & y| >= 80 * |x | y|``. With ``S = |x| + |y|`` and ``d = |x ^ y|`` that is ``9 * d <= S``.
 
-1. A sketch of fixed size counts all shingles; it orders them, rare before frequent (then by hash).
+1. All shingles are counted, as sorted numbers of ``SLOT`` bits that are shuffled by their differences. A sketch keeps the
+   count of the most frequent shingle of every cell, so rare shingles add nothing to a cell, however many there are; it
+   orders the shingles, rare before frequent (then by hash). Its cells grow with the texts.
 2. Equal sets form a class (SHA digest), joined once. A class is a node; its number puts often copied classes first.
 3. The leading fragment of every set in the global order (its prefix) must share a shingle with every partner's.
    Shingles in two or more prefixes are buckets. A bucket of at most ``SMALL`` nodes gives its pairs, and a pair
@@ -36,6 +38,7 @@ other. An empty table gives an empty result. Only the id and text columns are re
 from __future__ import annotations
 
 import hashlib
+import itertools
 import zlib
 
 import numpy as np
@@ -49,8 +52,12 @@ from .components import components
 from .hashing import shingles, text_words
 
 WORDS, SMALL, FRAGMENTS = 5, 9, 8
-#: Sketch: 2^22 counters in blocks of 2^12; a shingle is frequent above this many times the mean plus a constant.
-SLOT_BITS, BLOCK_BITS = 22, 12
+#: Sketch: 2^22 cells, and more (at most 2^26, a byte each) for texts of over 4 GB: a cell for about 1 KB.
+SLOT_BITS, MOST_BITS, CELL_BYTES = 22, 26, 1024
+#: Shingles are counted as numbers of so many bits, of which the first BLOCK_BITS say where; so many at a time in a task.
+SLOT, BLOCK_BITS, FLUSH = 36, 13, 1 << 21
+STEP_BYTES = -(-(SLOT - BLOCK_BITS) // 8)
+#: A shingle is frequent above this many times the mean count of a number plus a constant.
 FREQUENT_MEANS, FREQUENT_MORE = 8, 64
 #: Members of a group that meet its reference set in one task; members that vote for it, on average.
 GROUP, VOTERS = 256, 15
@@ -61,8 +68,12 @@ CROWD, LEVELS = 100, 3
 FILTER_BITS = 23
 
 
-def _slots(h: np.ndarray) -> np.ndarray:
-    return (h >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+def _slots(h: np.ndarray, bits: int = SLOT_BITS) -> np.ndarray:
+    return (h >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _levels(h: np.ndarray, level: np.ndarray) -> np.ndarray:
+    return level[_slots(h, len(level).bit_length() - 1)]
 
 
 def _sets(batch: pa.RecordBatch, column: int, n: int):
@@ -77,40 +88,88 @@ def _slices(batches, rows: int = 512):
             yield b.slice(at, rows)
 
 
-def _sketch(texts: DataFrame, n: int) -> tuple[np.ndarray, float]:
-    """Counters of all shingles as levels (8 log2(1 + count), one byte each, 4 MB), and their mean."""
+def _runs(x: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin in sorted ``x``."""
+    return np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]]))
+
+
+def _packed(sets: list[np.ndarray]) -> pa.RecordBatch:
+    """(block, slots, repeats): the shingles' numbers in each block as differences of the sorted ones, byte by byte, and
+    the places and counts of those that come more than once."""
+    x = np.sort(np.concatenate(sets) >> np.uint64(64 - SLOT))
+    at = _runs(x)
+    x, count = x[at], np.diff(np.append(at, len(x))).astype(np.uint32)
+    blocks = (x >> np.uint64(SLOT - BLOCK_BITS)).astype(np.int32)
+    low = (x & np.uint64((1 << SLOT - BLOCK_BITS) - 1)).astype(np.int64)
+    first = _runs(blocks)
+    step = np.diff(low, prepend=0)
+    step[first] = low[first]
+    planes = step.astype("<u4").view(np.uint8).reshape(-1, 4)
+    slots, repeats = [], []
+    for i, j in zip(first, np.append(first[1:], len(x))):
+        slots.append(zlib.compress(planes[i:j, :STEP_BYTES].T.tobytes(), 1))
+        more = np.flatnonzero(count[i:j] > 1).astype(np.uint32)
+        repeats.append(np.concatenate([more, count[i:j][more]]).tobytes())
+    return pa.RecordBatch.from_arrays([pa.array(blocks[first], pa.int32()), pa.array(slots, pa.binary()),
+                                       pa.array(repeats, pa.binary())], ["block", "slots", "repeats"])
+
+
+def _unpacked(slots: bytes, repeats: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers in their block, and their counts."""
+    planes = np.frombuffer(zlib.decompress(slots), np.uint8).reshape(STEP_BYTES, -1).astype(np.int64)
+    count = np.ones(planes.shape[1], np.int64)
+    more, times = np.frombuffer(repeats, np.uint32).reshape(2, -1)
+    count[more] = times
+    return np.cumsum(sum(plane << 8 * k for k, plane in enumerate(planes))), count
+
+
+def _sketch(texts: DataFrame, n: int) -> tuple[np.ndarray, float, np.ndarray]:
+    """Level of every cell (8 log2(1 + count) of its most frequent shingle, one byte each), the mean count of a number,
+    and the number of shingles in cells of each level."""
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    bits = min(MOST_BITS, max(SLOT_BITS, (size // CELL_BYTES).bit_length()))
+    cells = 1 << bits - BLOCK_BITS
 
     def count(batches):
-        total = np.zeros(1 << SLOT_BITS, np.uint32)
+        held, size = [], 0
         for b in batches:
             for _, s in _sets(b, 0, n):
-                np.add.at(total, _slots(s), 1)
-        blocks = total.reshape(-1, 1 << BLOCK_BITS)
-        used = np.flatnonzero(blocks.any(axis=1))
-        for k in range(0, len(used), 256):
-            ids = used[k:k + 256]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int32()), pa.array([zlib.compress(blocks[i].tobytes(), 1) for i in ids])],
-                ["block", "counts"])
+                held.append(s)
+                size += len(s)
+                if size >= FLUSH:
+                    yield _packed(held)
+                    held, size = [], 0
+        if size:
+            yield _packed(held)
 
     def add(batches):
-        sums: dict[int, np.ndarray] = {}
-        for b in batches:
-            for block, counts in zip(b.column(0).to_pylist(), b.column(1)):
-                c = np.frombuffer(zlib.decompress(counts.as_py()), np.uint32).astype(np.int64)
-                sums[block] = sums[block] + c if block in sums else c
-        if sums:
-            levels = [(8 * np.log2(1 + c)).astype(np.uint8).tobytes() for c in sums.values()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(sums), pa.int32()), pa.array(levels), pa.array([int(c.sum()) for c in sums.values()])],
-                ["block", "levels", "total"])
-
-    parts = texts.mapInArrow(count, "block int, counts binary").repartition(32, "block")
-    levels, total = np.zeros(1 << SLOT_BITS, np.uint8), 0
-    for block, data, part in parts.mapInArrow(add, "block int, levels binary, total long").collect():
-        levels[block << BLOCK_BITS:(block + 1) << BLOCK_BITS] = np.frombuffer(data, np.uint8)
-        total += part
-    return levels, total / len(levels)
+        rows = (row for b in batches for row in zip(*(c.to_pylist() for c in b.columns)))
+        mass, made = np.zeros(256, np.int64), False
+        for block, parts in itertools.groupby(rows, lambda row: row[0]):
+            x, c = (np.concatenate(p) for p in zip(*(_unpacked(*part[1:]) for part in parts)))
+            order = np.argsort(x, kind="stable")
+            at = _runs(x := x[order])
+            c = np.add.reduceat(c[order], at)
+            cell = x[at] >> SLOT - bits
+            first = _runs(cell)
+            level = np.minimum(8 * np.log2(1 + np.maximum.reduceat(c, first)), 255).astype(np.uint8)
+            mass += np.bincount(level, np.add.reduceat(c, first), 256).astype(np.int64)
+            whole, made = np.zeros(cells, np.uint8), True
+            whole[cell[first]] = level
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([zlib.compress(whole.tobytes(), 1)])],
+                                             ["block", "levels"])
+        if made:
+            yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([mass.tobytes()])], ["block", "levels"])
+
+    parts = texts.mapInArrow(count, "block int, slots binary, repeats binary").repartition("block").sortWithinPartitions(
+        "block")
+    levels, mass = np.zeros(1 << bits, np.uint8), np.zeros(256, np.int64)
+    for block, data in parts.mapInArrow(add, "block int, levels binary").collect():
+        if block < 0:
+            mass += np.frombuffer(data, np.int64)
+        else:
+            levels[block * cells:(block + 1) * cells] = np.frombuffer(zlib.decompress(data), np.uint8)
+    return levels, mass.sum() / (1 << SLOT), mass
 
 
 def _digest(s: np.ndarray) -> bytes:
@@ -146,7 +205,7 @@ def _prefixes(docs: DataFrame, levels, mean: float, n: int) -> DataFrame:
             ids = b.column(0)
             rows, sizes, digests, rare, common = [], [], [], [], []
             for row, s in _sets(b, 1, n):
-                lv = level[_slots(s)]
+                lv = _levels(s, level)
                 first = np.argsort(lv, kind="stable")[:prefix_length(len(s))]  # s is sorted: ties by hash
                 hot = lv[first] >= frequent
                 rows.append(row)
@@ -221,12 +280,15 @@ def _filter(ids: DataFrame) -> DataFrame:
 
 def _order(s: np.ndarray, level: np.ndarray) -> np.ndarray:
     """Places of shingles in the global order: their level, then their hash."""
-    return level[_slots(s)].astype(np.uint64) << np.uint64(56) | s >> np.uint64(8)
+    return _levels(s, level).astype(np.uint64) << np.uint64(56) | s >> np.uint64(8)
 
 
-def _cuts(levels: np.ndarray) -> np.ndarray:
-    """Places that cut the global order into FRAGMENTS parts of about equal mass."""
-    mass = np.cumsum(np.bincount(levels, minlength=256) * (2.0 ** (np.arange(256) / 8) - 1))
+def _cuts(levels: np.ndarray, mass: np.ndarray | None = None) -> np.ndarray:
+    """Places that cut the global order into FRAGMENTS parts of about equal mass. ``mass``: shingles in cells of each
+    level, where they are more than those that gave the level."""
+    if mass is None:
+        mass = np.bincount(levels, minlength=256) * (2.0 ** (np.arange(256) / 8) - 1)
+    mass = np.cumsum(mass)
     want = mass[-1] * np.arange(1, FRAGMENTS) / FRAGMENTS
     at = np.searchsorted(mass, want)
     before = np.concatenate([[0.0], mass])[at]
@@ -234,15 +296,13 @@ def _cuts(levels: np.ndarray) -> np.ndarray:
     return at.astype(np.uint64) << np.uint64(56) | (share * 2.0 ** 56).astype(np.uint64)
 
 
-def _fragments(docs: DataFrame, wanted: DataFrame, levels, n: int) -> DataFrame:
+def _fragments(docs: DataFrame, wanted: DataFrame, levels, cuts: np.ndarray, n: int) -> DataFrame:
     """(node, fragment, codes): the sets of wanted nodes, cut in the global order. Texts pass a filter of fixed size before
     they meet ``wanted`` (node, doc_id, digest) in a join; a row of the same id with another text is no member."""
     hashed = docs.where("doc_id IS NOT NULL").withColumn("bit", _bit()).withColumn("word", F.expr("bit div 32"))
     likely = hashed.join(F.broadcast(_filter(wanted)), "word").where(
         "mask & shiftleft(1L, cast(bit % 32 AS int)) <> 0").select("doc_id", "text")
 
-    cuts = _cuts(levels.value)
-
     def cut(batches):
         level = levels.value
         for b in _slices(batches):
@@ -401,7 +461,8 @@ def links(docs: DataFrame, n: int = WORDS) -> tuple[DataFrame, DataFrame]:
     of them, but enough to give the components of all links. ``docs``: (doc_id long, text)."""
     sc = docs.sparkSession.sparkContext
     known = docs.where("doc_id IS NOT NULL")
-    levels, mean = _sketch(known.select("text"), n)
+    levels, mean, mass = _sketch(known.select("text"), n)
+    cuts = _cuts(levels, mass)
     levels = sc.broadcast(levels)
     classes = _classes(_prefixes(known, levels, mean, n))
     buckets = _buckets(classes)
@@ -413,7 +474,7 @@ def links(docs: DataFrame, n: int = WORDS) -> tuple[DataFrame, DataFrame]:
     def sets(nodes: DataFrame, name: str) -> DataFrame:
         wanted = stored(nodes.distinct().join(classes, "node").select(
             "node", F.col("first_id").alias("doc_id"), "digest"), name)
-        return _fragments(known, wanted, levels, n)
+        return _fragments(known, wanted, levels, cuts, n)
 
     first = stored(_with_sizes(_overlaps(pairs, sets(ends, "join-wanted")), classes).where(_linked()).select("x", "y"),
                    "join-links")

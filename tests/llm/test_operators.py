@@ -193,6 +193,42 @@ def test_ngram_join_of_template_pages_makes_pairs_in_proportion(frame, monkeypat
     assert made[1000] <= 5 * made[250] and made[1000] <= 4 * 1000
 
 
+def test_rare_shingles_add_nothing_to_the_sketch(frame, monkeypatch):
+    """Cells hold the count of their most frequent shingle. A sum of a cell's shingles tells a common line from the
+    others only while the corpus is small."""
+    line = " ".join(f"line{k}" for k in range(300))
+    rows = [(k, " ".join(f"w{k}x{i}" for i in range(1000))) for k in range(100)] + [(100 + k, line) for k in range(12)]
+    want = {0: (1 << 22) - 99_600 - 296, 8: 99_600, 29: 296}  # 8 log2(1 + 1), 8 log2(1 + 12)
+    for flush in (1 << 21, 5000):
+        monkeypatch.setattr(ngram_join, "FLUSH", flush, raising=False)
+        found = ngram_join._sketch(frame(rows).select("text"), 5)
+        cells = np.bincount(found[0], minlength=256)
+        assert all(abs(cells[k] - n) < 2000 for k, n in want.items())  # two of a level may share a cell
+        assert cells.sum() - cells[[*want]].sum() <= 3  # and two may share a number
+        mass = found[2]
+        assert mass.sum() == 99_600 + 12 * 296 and abs(mass[29] - 12 * 296) < 50
+
+
+def test_shingles_are_counted_whole():
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 2 ** 64, 3000, dtype=np.uint64)) for _ in range(4)]
+    sets += [sets[0][:50]] * 70_000 + [np.array([0, 1, 2 ** 64 - 1], np.uint64)]
+    got = {}
+    for block, slots, repeats in zip(*(c.to_pylist() for c in ngram_join._packed(sets).columns)):
+        for x, count in zip(*ngram_join._unpacked(slots, repeats)):
+            got[block << ngram_join.SLOT - ngram_join.BLOCK_BITS | int(x)] = count
+    x, count = np.unique(np.concatenate(sets) >> np.uint64(64 - ngram_join.SLOT), return_counts=True)
+    assert got == dict(zip(x.tolist(), count.tolist())) and max(got.values()) == 70_001
+
+
+def test_ngram_join_with_a_larger_sketch(frame, monkeypatch):
+    monkeypatch.setattr(ngram_join, "SLOT_BITS", 24)
+    monkeypatch.setattr(ngram_join, "FLUSH", 100)
+    rng = random.Random(7)
+    rows = list(enumerate([*near_copies(rng, 5, 15, 4), *near_copies(rng, 20, 3, 3), *ODD]))
+    assert sorted(map(tuple, ngram_join.report(frame(rows)).collect())) == sorted(brute_components(rows))
+
+
 def test_fragments_cut_the_global_order():
     levels = np.random.default_rng(1).integers(0, 90, 1 << ngram_join.SLOT_BITS).astype(np.uint8)
     codes = np.random.default_rng(2).integers(0, 2 ** 64, 200_000, dtype=np.uint64)
